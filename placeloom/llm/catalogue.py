@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeloom.llm import addresses, leakage, repetition, survivorship, tokenization
+from placeloom.llm import addresses, leakage, names, repetition, survivorship, tokenization
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -34,6 +34,11 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return addresses.pairs(addresses.same_premises(table(spark, d, "verify_positions")), "location")
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    entities = names.link_names(table(spark, d, "aliases"), "alias_id", "registered_name", "alias_name")
+    return addresses.pairs(entities, "entity").toDF("alias_id_a", "alias_id_b")
+
+
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokenization.encode(table(spark, d, "documents"))
 
@@ -64,7 +69,7 @@ def p8_share(spark: SparkSession, d: str) -> DataFrame:
     return out.select("doc_id", F.round("share", 6).alias("share"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_fused, p3_found, p6_ids, p6_decoded, p7_found, p7_scrubbed, p8_found, p8_share)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_fused, p3_found, p4_found, p6_ids, p6_decoded, p7_found, p7_scrubbed, p8_found, p8_share)}
 
 _SHARES = r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '\p{L}+') AS ws FROM documents WHERE text IS NOT NULL),
