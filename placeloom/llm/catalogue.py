@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeloom.llm import addresses, leakage, names, repetition, survivorship, tokenization
+from placeloom.llm import addresses, leakage, matching, names, repetition, survivorship, tokenization
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -39,6 +39,21 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return addresses.pairs(entities, "entity").toDF("alias_id_a", "alias_id_b")
 
 
+def _sites(spark: SparkSession, d: str, once: bool) -> DataFrame:
+    towns = table(spark, d, "areas").select(F.element_at(F.split("area_id", "/"), -1))
+    return matching.match(table(spark, d, "overture"), table(spark, d, "crawl_sites"), towns=towns, left_once=once)
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """A site has one place, a place may have several sites."""
+    return _sites(spark, d, False).select(F.col("left_id").alias("overture_id"), F.col("right_id").alias("site_id"))
+
+
+def p5_confidence(spark: SparkSession, d: str) -> DataFrame:
+    """The one-to-one matching with its marginals."""
+    return _sites(spark, d, True).select(F.col("left_id").alias("overture_id"), F.col("right_id").alias("site_id"), F.round("p", 4).alias("p"))
+
+
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokenization.encode(table(spark, d, "documents"))
 
@@ -69,7 +84,7 @@ def p8_share(spark: SparkSession, d: str) -> DataFrame:
     return out.select("doc_id", F.round("share", 6).alias("share"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_fused, p3_found, p4_found, p6_ids, p6_decoded, p7_found, p7_scrubbed, p8_found, p8_share)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_fused, p3_found, p4_found, p5_found, p5_confidence, p6_ids, p6_decoded, p7_found, p7_scrubbed, p8_found, p8_share)}
 
 _SHARES = r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '\p{L}+') AS ws FROM documents WHERE text IS NOT NULL),

@@ -24,7 +24,7 @@ SHORT = {
     "assocs": "associates", "intl": "international", "int": "international", "photog": "photography", "pharm": "pharmacy", "vet": "veterinary", "vets": "veterinary",
     "accts": "accountancy", "acctcy": "accountancy", "acct": "accountancy", "ctrg": "catering", "cater": "catering", "stnry": "stationery", "soc": "society",
     "comm": "community", "allot": "allotment", "kit": "kitchens", "kitch": "kitchens", "assn": "association", "ass": "association", "chor": "choral", "gym": "gymnastics", "opt": "optician",
-    "cafe": "cafe", "coffee": "cafe", "rest": "restaurant",
+    "htl": "hotel", "ctr": "centre", "clin": "clinic", "pract": "practice", "bky": "bakery", "hse": "house", "rest": "restaurant", "rav": "ravintola", "lib": "library", "gdn": "garden",
 }
 # Initials of clubs.
 INITIALS = {"rc": ["rowing", "club"], "bc": ["bowls", "club"], "cs": ["choral", "society"], "as": ["allotment", "society"], "ca": ["community", "association"], "cc": ["cricket", "club"], "fc": ["football", "club"]}
