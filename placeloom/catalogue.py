@@ -1,40 +1,5 @@
-"""Queries of the core and their SQL."""
+"""All queries of the core and their SQL."""
 
-from __future__ import annotations
+from placeloom.queries import ORACLE, QUERIES, browse, matching, near, ranking, records, text
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from placeloom.operators.proximity import near_pairs, points_in_regions, ring_of_box
-
-
-def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
-
-
-def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    """Pairs of places at most 25 m apart."""
-    return near_pairs(table(spark, d, "overture"), 25.0).select("id_a", "id_b")
-
-
-def p1_regions(spark: SparkSession, d: str) -> DataFrame:
-    """The area whose box holds each place."""
-    areas = table(spark, d, "areas").withColumn("ring", ring_of_box("bbox"))
-    places = table(spark, d, "overture").select("id", "lat", "lon").distinct()
-    return points_in_regions(places, areas, "area_id", "ring").withColumnRenamed("region_id", "area_id")
-
-
-QUERIES = {"p1_found": p1_found, "p1_regions": p1_regions}
-
-_PLACED = "lat IS NOT NULL AND lon IS NOT NULL AND NOT isnan(lat) AND NOT isnan(lon) AND abs(lat) <= 90 AND NOT (lat = 0 AND lon = 0)"
-
-ORACLE = {
-    "p1_found": f"""
-WITH p AS (SELECT DISTINCT id, lat, lon, CAST(floor(lat * 1000) AS BIGINT) AS band FROM overture WHERE {_PLACED}),
-q AS (SELECT id, lat, lon, unnest([band - 1, band, band + 1]) AS band FROM p)
-SELECT DISTINCT p.id AS id_a, q.id AS id_b FROM p JOIN q ON p.band = q.band AND p.id < q.id
-WHERE 2 * 6371008.8 * asin(least(1, sqrt(pow(sin(radians(q.lat - p.lat) / 2), 2) + cos(radians(p.lat)) * cos(radians(q.lat)) * pow(sin(radians(q.lon - p.lon) / 2), 2)))) <= 25""",
-    "p1_regions": f"""
-WITH p AS (SELECT DISTINCT id, lat, lon FROM overture WHERE {_PLACED})
-SELECT id, area_id FROM p JOIN areas ON lon >= bbox[1] AND lon < bbox[3] AND lat >= bbox[2] AND lat < bbox[4]""",
-}
+__all__ = ["ORACLE", "QUERIES", "browse", "matching", "near", "ranking", "records", "text"]
