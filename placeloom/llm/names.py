@@ -5,8 +5,8 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,6 +46,13 @@ def near(a: str, b: str, most: int) -> int:
         return 0
     if abs(len(a) - len(b)) > most:
         return most + 1
+    i, n = 0, min(len(a), len(b))
+    while i < n and a[i] == b[i]:
+        i += 1
+    j = 0
+    while j < n - i and a[-1 - j] == b[-1 - j]:
+        j += 1
+    a, b = a[i : len(a) - j], b[i : len(b) - j]
     before: list[int] = []
     last = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -84,11 +91,17 @@ def _slack(w: str) -> int:
     return 0 if len(w) < 4 else 1 if len(w) < 6 else 2
 
 
+@lru_cache(maxsize=200_000)
 def _idle(w: str) -> bool:
     """Soft, or a mistyped soft or idle word."""
     return w in SOFT or (len(w) > 4 and any(len(k) > 4 and near(w, k, 1) <= 1 for k in (*SOFT, *IDLE)))
 
 
+@lru_cache(maxsize=200_000)
+def _given(w: str) -> bool:
+    return any(near(w, g, 1) <= 1 for g in GIVEN)
+
+
 def same_name(a: tuple[str, ...], b: tuple[str, ...]) -> bool:
     """Whether two names (see :func:`words_of`) can be of one entity.
 
@@ -113,7 +126,7 @@ def same_name(a: tuple[str, ...], b: tuple[str, ...]) -> bool:
                 firm += len(w) > 3 and w not in SOFT and w not in GIVEN
     for these, those in ((left, right), (right, left)):
         for w in [w for w in these if len(w) == 1]:
-            full = next((v for v in those if v[0] == w and any(near(v, g, 1) <= 1 for g in GIVEN)), None)
+            full = next((v for v in those if v[0] == w and _given(v)), None)
             if full:
                 these.remove(w)
                 those.remove(full)
@@ -208,11 +221,26 @@ def cluster(links: DataFrame, least: float = 0.2, most: int = 400) -> DataFrame:
     within = links.join(parts.withColumnRenamed("node", "a"), "a")
     within = cut(within.join(within.groupBy("component").agg(F.count("*").alias("n")), "component"))
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        got = average_linkage(list(pdf[["a", "b", "sim"]].itertuples(index=False, name=None)), least)
-        return pd.DataFrame({"node": list(got), "cluster": list(got.values())})
-
-    done = within.where(F.col("n") <= most).groupBy("component").applyInPandas(one, "node long, cluster long")
+    def one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[int, int, float]] = []
+        last = None
+
+        def settled() -> pa.RecordBatch:
+            got = average_linkage(held, least)
+            return pa.RecordBatch.from_arrays([pa.array(list(got), pa.int64()), pa.array(list(got.values()), pa.int64())], ["node", "cluster"])
+
+        for batch in batches:
+            for c, *link in zip(*(batch.column(n).to_pylist() for n in ("component", "a", "b", "sim")), strict=True):
+                if c != last and held:
+                    yield settled()
+                    held = []
+                last = c
+                held.append(tuple(link))
+        if held:
+            yield settled()
+
+    parts_n = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    done = within.where(F.col("n") <= most).select("component", "a", "b", "sim").repartition(parts_n, "component").sortWithinPartitions("component").mapInArrow(one_by_one, "node long, cluster long")
     big = within.where(F.col("n") > most).select("a", "b", "sim")
     if big.isEmpty():
         return done
