@@ -17,7 +17,7 @@ def visible_text(c: Column, keep_alt: bool = True) -> Column:
     out = F.regexp_replace(c, r"(?is)<(script|style|noscript)\b.*?</\1\s*>|<!--.*?-->", " ")
     if keep_alt:
         out = F.regexp_replace(out, r"""(?is)<[^>]*?\b(?:alt|title)\s*=\s*["']([^"']*)["'][^>]*>""", " $1 ")
-    return F.trim(F.regexp_replace(entities(F.regexp_replace(out, r"(?s)<[^>]*>", " ")), r"\s+", " "))
+    return F.trim(F.regexp_replace(entities(F.regexp_replace(out, r"(?s)<[^>]*>", " ")), r"[\s\x{00A0}]+", " "))
 
 
 def entities(c: Column) -> Column:

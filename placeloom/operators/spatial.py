@@ -71,7 +71,7 @@ def nearest_segment(points: DataFrame, segments: DataFrame, id: str, lat: str =
     """
     reach_y, reach_x = (int(-(-metres // (size * m))) for m in (LAT_M, LNG_M))
     span = lambda a, b, r: F.explode(F.sequence(cell(F.least(a, b), size) - r, cell(F.greatest(a, b), size) + r))
-    s = segments.withColumn("_cx", span(F.col("lng1"), F.col("lng2"), reach_x)).withColumn("_cy", span(F.col("lat1"), F.col("lat2"), reach_y))
+    s = segments.select("lat1", "lng1", "lat2", "lng2").withColumn("_cx", span(F.col("lng1"), F.col("lng2"), reach_x)).withColumn("_cy", span(F.col("lat1"), F.col("lat2"), reach_y))
     p = points.select(F.col(id), F.col(lat).alias("_lat"), F.col(lng).alias("_lng")).where("_lat is not null and _lng is not null").withColumn("_cx", cell(F.col("_lng"), size)).withColumn("_cy", cell(F.col("_lat"), size))
     d = segment_m(F.col("_lat"), F.col("_lng"), F.col("lat1"), F.col("lng1"), F.col("lat2"), F.col("lng2"))
     return p.join(s, ["_cx", "_cy"]).withColumn("dist_m", d).where(F.col("dist_m") <= metres).groupBy(id).agg(F.min("dist_m").alias("dist_m"))
