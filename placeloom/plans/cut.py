@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -31,6 +32,13 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager)
 
 
+def cut_table(df: DataFrame) -> DataFrame:
+    """The same by a compressed Parquet table in the checkpoint folder: for wide rows of which later steps read a part."""
+    at = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it holds at most ``rows`` rows, else unchanged. The count stops after ``rows + 1`` rows."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
