@@ -45,9 +45,9 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Make this package importable in the executors' Python workers of a cluster; once per session."""
+    """Make this package importable in the Python workers, wherever they run; once per session."""
     sc = spark.sparkContext
-    if sc.master.startswith("local[") or sc.master == "local" or getattr(sc, "_placeloom", False):
+    if getattr(sc, "_placeloom", False):
         return
     root = Path(__file__).resolve().parents[1]
     at = os.path.join(tempfile.mkdtemp(prefix="placeloom-"), "placeloom.zip")
