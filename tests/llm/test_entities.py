@@ -127,7 +127,9 @@ def _match(spark, left, right, **kw):
     return {(r.left_id, r.right_id) for r in matching.match(a, b, towns=spark.createDataFrame([("fumlakford",)], "t string"), **kw).collect()}
 
 
-def test_two_of_three_attributes(spark):
+@pytest.mark.parametrize("busy", [60, 0])
+def test_two_of_three_attributes(spark, monkeypatch, busy):
+    monkeypatch.setattr(matching, "BUSY_CODE", busy)
     left = [("o1", "Sumtojuspo Motel", "QN1 1AA", "https://sumtojuspomotel.test/"), ("o2", "Sumtojuspo Motel", "QE2 2BB", None), ("o3", None, None, None), ("o4", "Wimhalca Books", "QN1 1AA", "n/a")]
     left += [(f"c{k}", "Pellworth Bakes", f"QA{k} 1AA", f"pellworthbakes.example/stores/x-qa{k}1aa" if k % 2 else "pellworthbakes.example") for k in range(10, 24)]
     right = [
