@@ -15,41 +15,41 @@ def test_names(spark):
     df = spark.createDataFrame(names, "n string, a string, b string, c string")
     for r in df.select("*", T.normal_name("n").alias("x"), T.ascii_name("n").alias("y"), T.dedupe_name("n").alias("z")).collect():
         assert (r.x, r.y, r.z) == (r.a, r.b, r.c)
-    assert one(spark, T.register_name(F.lit("Oy Ab Fazer Oy Ltd"))) == "fazer"
+    assert one(spark, T.register_name(F.lit("Oy Ab Tavu Oy Ltd"))) == "tavu"
     assert one(spark, T.folded_name(F.lit("Café Åäö's"))) == "cafe aao s"
-    assert one(spark, T.rule_name(F.lit("The Wendy's Ltd"))) == "wendys"
+    assert one(spark, T.rule_name(F.lit("The Molly's Ltd"))) == "mollys"
 
 
 @pytest.mark.parametrize(
     ("a", "b", "score"),
-    [("Slug and Lettuce", "Slug & Lettuce Pub", 0.9), ("Blue Dog Inn", "Blue Cat Inn Bar", 0.5), ("Peterboat", "Peter Boat Inn", 0.9), ("Red Rooms", "Blue Rooms", 0.5), ("", "Blue", 0.0), ("Al", "Bo", 0.0)],
+    [("Otter and Lantern", "Otter & Lantern Pub", 0.9), ("Blue Dog Inn", "Blue Cat Inn Bar", 0.5), ("Martenboat", "Marten Boat Inn", 0.9), ("Red Rooms", "Blue Rooms", 0.5), ("", "Blue", 0.0), ("Al", "Bo", 0.0)],
 )
 def test_name_score(spark, a, b, score):
     assert one(spark, T.name_score(F.lit(a), F.lit(b))) == pytest.approx(score)
 
 
 def test_town_words_are_no_brand(spark):
-    assert one(spark, T.anchored_score(F.lit("Fireaway Southend"), F.lit("Swagger of Southend"))) == 0
+    assert one(spark, T.anchored_score(F.lit("Emberline London"), F.lit("Tallow of London"))) == 0
     assert one(spark, T.anchored_score(F.lit("Leigh"), F.lit("Leigh Station"))) == 0
     args = (F.lit(0.5), F.lit(10.0), F.lit(True))
-    assert not one(spark, T.accept(F.lit("Fireaway Southend"), F.lit("Swagger Southend"), *args))
-    assert one(spark, T.accept(F.lit("Red Chillies"), F.lit("RedChillies Grill"), F.lit(0.0), F.lit(99.0), F.lit(None).cast("boolean")))
-    assert [one(spark, T.brand_gate(F.lit("Costa Coffee High Street"), F.lit(b))) for b in ("Costa", "High Street", "B&M", "B M", "")] == ["yes", "no", "no", "initials", "no"]
+    assert not one(spark, T.accept(F.lit("Emberline London"), F.lit("Tallow London"), *args))
+    assert one(spark, T.accept(F.lit("Hot Radishes"), F.lit("HotRadishes Grill"), F.lit(0.0), F.lit(99.0), F.lit(None).cast("boolean")))
+    assert [one(spark, T.brand_gate(F.lit("Pilka Coffee High Street"), F.lit(b))) for b in ("Pilka", "High Street", "B&M", "B M", "")] == ["yes", "no", "no", "initials", "no"]
 
 
 def test_same_brand(spark):
-    pairs = [("ABI Convenience", "ABI Foods", True), ("Co-op Food", "Co-op", True), ("mu", "MU", True), ("Zinnia", "Mimosa", False), ("Old Bar", "New Bar", False)]
+    pairs = [("Oko Convenience", "Oko Foods", True), ("Wex-o Food", "Wex-o", True), ("mu", "MU", True), ("Fern", "Tulip", False), ("Old Bar", "New Bar", False)]
     for a, b, same in pairs:
         assert one(spark, T.same_brand(F.lit(a), F.lit(b))) is same, (a, b)
 
 
 def test_addresses(spark):
-    rows = [("18, Stoke Road", "18", "stoke road"), ("The Slug, 6 - 8 Church Road", "6", "the slug"), ("66-68 High St", "66", "high st"), ("Nowhere", None, "nowhere"), (None, None, "")]
+    rows = [("18, Stoke Road", "18", "stoke road"), ("The Otter, 6 - 8 Church Road", "6", "the otter"), ("66-68 High St", "66", "high st"), ("Nowhere", None, "nowhere"), (None, None, "")]
     for a, hn, street in rows:
         assert one(spark, T.house_number(F.lit(a).cast("string"))) == hn
         assert one(spark, T.street_key(F.lit(a).cast("string"))) == street
-    assert one(spark, T.trailing_number(F.lit("Hämeentie 62 B, Helsinki"))) == "62 b"
-    assert one(spark, T.postcode_in(F.lit("5 High St, SS1 1AA Southend"))) == "ss11aa" and one(spark, T.postcode_in(F.lit("Tie 3, 00100 Helsinki"))) == "00100"
+    assert one(spark, T.trailing_number(F.lit("Koivutie 62 B, Helsinki"))) == "62 b"
+    assert one(spark, T.postcode_in(F.lit("5 High St, SS1 1AA London"))) == "ss11aa" and one(spark, T.postcode_in(F.lit("Tie 3, 00100 Helsinki"))) == "00100"
 
 
 def test_urls(spark):
