@@ -116,17 +116,18 @@ def hours_parsed(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(r"""
-WITH v AS (SELECT DISTINCT id, opening_hours_osm AS h FROM verify_positions WHERE opening_hours_osm IS NOT NULL)
-SELECT id, CASE WHEN h = '24/7' THEN 'open' WHEN regexp_matches(h, '^Mo-Sa \d\d:\d\d-$') THEN 'closed' WHEN NOT regexp_matches(h, '\d:\d\d-\d') THEN 'unknown'
- WHEN regexp_matches(h, '^(Mo-Su|Tu-Sa|Mo-Sa|Mo,We,Fr|Mo-Fr) ') AND NOT regexp_matches(h, ';') AND NOT regexp_matches(h, '^Mo,We,Fr') THEN
-   CASE WHEN (regexp_extract(h, '(\d\d):(\d\d)-', 1)::INT * 60 + regexp_extract(h, '(\d\d):(\d\d)-', 2)::INT <= 750 AND 750 < regexp_extract(h, '-(\d\d):(\d\d)', 1)::INT * 60 + regexp_extract(h, '-(\d\d):(\d\d)', 2)::INT)
-     OR (contains(h, ',') AND regexp_extract(h, ',(\d\d):(\d\d)-', 1)::INT * 60 + regexp_extract(h, ',(\d\d):(\d\d)-', 2)::INT <= 750 AND 750 < regexp_extract(h, ',\d\d:\d\d-(\d\d):(\d\d)', 1)::INT * 60 + regexp_extract(h, ',\d\d:\d\d-(\d\d):(\d\d)', 2)::INT) THEN 'open' ELSE 'closed' END END AS state
-FROM v WHERE h = '24/7' OR NOT regexp_matches(h, '\d:\d\d-\d') OR (regexp_matches(h, '^(Mo-Su|Tu-Sa|Mo-Sa|Mo-Fr) ') AND NOT contains(h, ';'))""")
+WITH v AS (SELECT DISTINCT id, opening_hours_osm AS h FROM verify_positions WHERE opening_hours_osm IS NOT NULL),
+m AS (SELECT id, regexp_extract(trim(rule), '^([A-Za-z]{2}(?:-[A-Za-z]{2})?(?:,[A-Za-z]{2}(?:-[A-Za-z]{2})?)*)\s+(.+)$', ['d', 't']) AS g FROM (SELECT id, unnest(string_split(h, ';')) AS rule FROM v)),
+c AS (SELECT id, g.t AS t, unnest(string_split(g.d, ',')) AS k FROM m WHERE g.d <> ''),
+x AS (SELECT id, t, list_position(['Mo', 'Tu', 'We', 'Th', 'Fr', 'Sa', 'Su'], substr(k, 1, 2)) AS a, list_position(['Mo', 'Tu', 'We', 'Th', 'Fr', 'Sa', 'Su'], CASE WHEN contains(k, '-') THEN split_part(k, '-', 2) ELSE k END) AS b FROM c),
+s AS (SELECT id, unnest(string_split(t, ',')) AS s FROM x WHERE (a <= b AND 4 BETWEEN a AND b) OR (a > b AND (4 >= a OR 4 <= b))),
+r AS (SELECT id, regexp_extract(s, '(\d{1,2}):(\d{2})\s*-\s*(\d{1,2}):(\d{2})', ['oh', 'om', 'ch', 'cm']) AS r FROM s WHERE regexp_matches(s, '\d{1,2}:\d{2}\s*-\s*\d{1,2}:\d{2}')),
+o AS (SELECT DISTINCT id FROM (SELECT id, r.oh::INT * 60 + r.om::INT AS o, r.ch::INT * 60 + r.cm::INT AS c FROM r) WHERE o <= 750 AND (750 < c OR c = 0 OR c < o))
+SELECT id, CASE WHEN regexp_matches(h, '24\s*/\s*7') OR id IN (SELECT id FROM o) THEN 'open' WHEN id IN (SELECT id FROM x WHERE a IS NOT NULL AND b IS NOT NULL) THEN 'closed' ELSE 'unknown' END AS state FROM v""")
 def open_at_noon(spark: SparkSession, d: str) -> DataFrame:
-    """Which simple schedules are open on a Thursday at 12:30."""
-    v = table(spark, d, "verify_positions").where("opening_hours_osm is not null").select("id", F.col("opening_hours_osm").alias("h")).distinct()
-    simple = v.where((F.col("h") == "24/7") | ~F.col("h").rlike(r"\d:\d\d-\d") | (F.col("h").rlike("^(Mo-Su|Tu-Sa|Mo-Sa|Mo-Fr) ") & ~F.contains("h", F.lit(";"))))
-    return simple.select("id", hours.open_at(hours.week(F.col("h")), F.lit("Th"), F.lit(750)).alias("state"))
+    """Which records are open on a Thursday at 12:30."""
+    v = table(spark, d, "verify_positions").where("opening_hours_osm is not null").select("id", "opening_hours_osm").distinct()
+    return v.select("id", hours.open_at(hours.week(F.col("opening_hours_osm")), F.lit("Th"), F.lit(750)).alias("state"))
 
 
 @query()
