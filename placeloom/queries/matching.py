@@ -103,3 +103,19 @@ def scored_enrichment(spark: SparkSession, d: str) -> DataFrame:
     score = F.when(exact, 2.0 - F.col("dist_m") / 1e5).otherwise(F.col("ns") + F.when(F.col("dist_m") < 50, 0.1).otherwise(0.0))
     best = best_each(pairs.withColumn("method", method).withColumn("score", score).where("method is not null"), "l_id", F.desc("score"), F.asc("r_id"))
     return best.select(F.col("l_id").alias("fsa"), F.col("r_id").alias("osm"), "method", F.round("score", 3).alias("score"))
+
+
+@query()
+def built_places(spark: SparkSession, d: str) -> DataFrame:
+    """The whole build: records renamed, moved, filled, flagged, weighed, gated."""
+    from placeloom.plans.places import build_places
+
+    return build_places(table(spark, d, "verify_positions"), table(spark, d, "aliases"), "2031-03-01 00:00:00")
+
+
+@query()
+def listed_by_name(spark: SparkSession, d: str) -> DataFrame:
+    """Places in the order of a name list: with register and map evidence first, then by name as a reader sorts it."""
+    v = table(spark, d, "verify_positions").groupBy("id").agg(F.max("name").alias("name"), F.max(F.get("sources", F.lit(0))).alias("source"), F.max("osm_fhrs_id").alias("carried"))
+    order = F.when((F.col("source") == "osm") & F.col("carried").isNotNull(), 2).when(F.col("source") == "fsa", 1).otherwise(0)
+    return v.select("id", "name", order.alias("evidence")).orderBy(F.desc("evidence"), F.collate("name", "UNICODE"), "id")

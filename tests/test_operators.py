@@ -157,3 +157,26 @@ def test_best_each_is_the_same_for_any_order_of_rows(spark):
     df = spark.createDataFrame(rows, "k string, i int, s int")
     pick = lambda d: sorted(map(tuple, spatial.best_each(d, "k", F.desc("s"), F.asc("i")).collect()))
     assert pick(df) == pick(df.orderBy(F.rand(1))) == [("a", 1, 1), ("b", 1, 1)]
+
+
+def test_build_of_places_can_be_run_again(spark):
+    from placeloom.plans.places import build_places
+
+    cols = "id string, name string, sources array<string>, fsa_id long, osm_fhrs_id string, osm_touched string, category string, address string, postcode string, lat double, lng double, phone string, website string, opening_hours_osm string, loaded_at timestamp"
+    from datetime import datetime
+
+    t = datetime(2030, 1, 1)
+    rows = [
+        ("fsa-1", "Harbour Kitchen", ["fsa"], 1, None, None, "cafe", "1 High St", "A1", 51.0, 0.5, " ", None, None, t),
+        ("osm-1", "Harbour Kitchen", ["osm"], None, "001 ", "2031-01-01T00:00:00Z", "cafe", "1 High St", "A1", 51.1, 0.6, "0123456789", "http://h.example", None, t),
+        ("osm-2", "Lantern", ["osm"], None, None, "bad", "cafe", "1 High St", "a 1", 51.1, 0.6, None, None, None, t),
+        ("fsa-1", "Harbour Kitchen", ["fsa"], 1, None, None, "cafe", "1 High St", "A1", 51.0, 0.5, " ", None, None, datetime(2029, 1, 1)),
+    ]
+    alias = spark.createDataFrame([(1, "fsa-1", "Harbour Kitchen", "The Harbour", ["osm-9"], None, ["seen"], t)], "alias_id long, id string, registered_name string, alias_name string, absorb array<string>, merge_osm string, evidence array<string>, loaded_at timestamp")
+    df = spark.createDataFrame(rows, cols)
+    out = {r.id: r for r in build_places(df, alias.where("false"), "2031-03-01").collect()}
+    f = out["fsa-1"]
+    assert (f.lat, f.position_from, f.phone, f.website, f.tier) == (51.1, "osm-1", "0123456789", "http://h.example", 1.0)
+    assert out["osm-2"].superseded_by == "fsa-1" and out["osm-1"].superseded_by is None and out["osm-2"].tier == 0.3
+    named = {r.id: r.name for r in build_places(df, alias, "2031-03-01").collect()}
+    assert named["fsa-1"] == "The Harbour"
