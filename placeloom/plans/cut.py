@@ -44,6 +44,12 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in at least as many partitions as there are cores: a single small file would otherwise be worked off by one core. Larger inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable in the Python workers, wherever they run; once per session."""
     sc = spark.sparkContext

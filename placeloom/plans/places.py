@@ -58,7 +58,8 @@ def weighed(df: DataFrame, context: dict) -> DataFrame:
 STEPS = [
     Step("newest", newest),
     Step("renamed", renamed, ("newest",), owns=("registered_name",)),
-    Step("placed", placed, ("renamed",), owns=("position_from", "moved_m")),
+    Step("kept", lambda df, _: cut(df), ("renamed",)),
+    Step("placed", placed, ("kept",), owns=("position_from", "moved_m")),
     Step("saved", lambda df, _: cut(df), ("placed",)),
     Step("contacted", contacted, ("saved",)),
     Step("occupied", occupied, ("contacted",), owns=("superseded_by",)),
