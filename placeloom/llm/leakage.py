@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from placeloom.plans.cut import spread
+
 _TAG = re.compile(r"<[/!]?[A-Za-z][^<>]*>|<!--.*?-->|&#?\w{1,10};", re.S)
 _INVISIBLE = "­​‌‍⁠﻿"
 _SECOND = "\u0080-¿€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
@@ -175,7 +177,7 @@ def leaks(
     ids, have no passages. Repeated documents and repeated items each come out once for every repetition. Whole
     texts are read. Empty tables give no rows.
     """
-    docs = documents.where(F.col(text).isNotNull() & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    docs = spread(documents.where(F.col(text).isNotNull() & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
     known = items.where(F.col(item_id).isNotNull() & F.col(item_text).isNotNull()).select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text"))
     kinds = docs.schema["doc_id"].dataType.simpleString(), known.schema["item_id"].dataType.simpleString()
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, matched int, span int, coverage double, begin int, end int"

@@ -10,6 +10,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from placeloom.plans.cut import spread
+
 _LETTERS = regex.compile(r"\p{L}+")
 
 
@@ -126,4 +128,4 @@ def repetition(
                     keep.append(i), shares.append(share), stages.append(len(rules) + 1)
             yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(keep, pa.int64())), pa.array(shares, pa.float64()), pa.array(stages, pa.int32())], ["doc_id", "share", "stage"])
 
-    return docs.mapInArrow(scan, f"doc_id {kind}, share double, stage int")
+    return spread(docs).mapInArrow(scan, f"doc_id {kind}, share double, stage int")
