@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placeloom.functions.geo import box_overlap, haversine_m, in_box, padded, parse_box, tile
-from placeloom.operators.proximity import near_pairs, points_in_regions, ring_of_box
+from placeloom.operators.proximity import near_join, near_pairs, points_in_regions, ring_of_box
 from placeloom.operators.spatial import attach_host, best_each, create_unmatched, nearest_segment, one_to_one, path_segments, within, without
 from placeloom.queries import query, table
 
@@ -45,6 +45,18 @@ def p1_regions(spark: SparkSession, d: str) -> DataFrame:
     return points_in_regions(places, areas, "area_id", "ring").withColumnRenamed("region_id", "area_id")
 
 
+@query(f"""
+WITH p AS (SELECT DISTINCT id, lat, lon, CAST(floor(lat * 1000) AS BIGINT) AS band FROM overture WHERE {_PLACED}),
+v AS (SELECT DISTINCT id, lat, lng AS lon, CAST(floor(lat * 1000) AS BIGINT) AS band FROM verify_positions WHERE {_PLACED.replace("lon", "lng")}),
+q AS (SELECT id, lat, lon, unnest([band - 1, band, band + 1]) AS band FROM v)
+SELECT DISTINCT p.id AS place_id, q.id AS record_id FROM p JOIN q ON p.band = q.band
+WHERE 2 * 6371008.8 * asin(least(1, sqrt(pow(sin(radians(q.lat - p.lat) / 2), 2) + cos(radians(p.lat)) * cos(radians(q.lat)) * pow(sin(radians(q.lon - p.lon) / 2), 2)))) <= 40""")
+def p1_near(spark: SparkSession, d: str) -> DataFrame:
+    """Records of the register, the map and others within 40 m of each place."""
+    records = table(spark, d, "verify_positions").select("id", "lat", F.col("lng").alias("lon"))
+    return near_join(table(spark, d, "overture"), records, 40.0).select(F.col("left_id").alias("place_id"), F.col("right_id").alias("record_id"))
+
+
 @query(f"""
 WITH {_SIDES}
 SELECT fsa, osm, round(d, 3) AS dist_m FROM (

@@ -194,3 +194,25 @@ def test_name_on_page_has_three_values(spark):
     assert one(spark, pages.name_on_page(w, F.lit("the INN"), none)) is True
     assert one(spark, pages.name_on_page(w, F.lit("a pub"), none)) is False
     assert one(spark, pages.name_on_page(w, none, none)) is None and one(spark, pages.name_on_page(F.array().cast("array<string>"), F.lit("x"), none)) is None
+
+
+def test_tags_and_contacts(spark):
+    tags = F.create_map(*map(F.lit, ("amenity", "pub", "contact:phone", "01", "phone", " ", "addr:street", "High St")))
+    rules = [("shop", None, "shop"), ("amenity", {"cafe"}, "cafe"), ("amenity", {"pub", "bar"}, "pub")]
+    assert one(spark, T.tag_match(tags, rules, "other")) == "pub" and one(spark, T.tag_match(F.create_map(F.lit("x"), F.lit("y")), rules, "other")) == "other"
+    assert one(spark, T.contact(tags, "phone")) == "01" and one(spark, T.contact(tags, "email")) is None
+    assert one(spark, T.joined(F.lit("5"), F.lit(" "), F.lit(None).cast("string"), F.lit("Town"))) == "5, Town"
+    socials = F.array(F.lit("https://x.example/a"), F.lit("https://www.Facebook.com/b"))
+    assert one(spark, T.pick_social(socials, ("facebook.com",))) == "https://www.Facebook.com/b" and one(spark, T.pick_social(socials, ("insta",))) is None
+    assert [one(spark, T.is_handle(F.lit(v))) for v in ("@joe", "http://x", " ")] == [True, False, False]
+    assert one(spark, T.slug(F.lit("eu/GB/Old Town"))) == "eu-gb-old-town" and one(spark, T.stem(F.lit("arms"))) == "arm" and one(spark, T.stem(F.lit("glass"))) == "glass"
+
+
+def test_lists_and_confidence(spark):
+    lists = lambda a, b: one(spark, scores.list_verdict(F.array(*map(F.lit, a)), F.array(*map(F.lit, b))))
+    assert [lists(["a", "b"], ["a"]), lists(["a"], ["a", "c"]), lists(["a"], ["c"])] == ["agree", "extend", "conflict"]
+    parts = F.array(F.struct(F.lit("meta").alias("dataset"), F.lit(0.9).alias("confidence")), F.struct(F.lit("x").alias("dataset"), F.lit(1.0).alias("confidence")))
+    assert one(spark, scores.max_confidence(F.lit(0.5), parts, "meta")) == 0.9 and one(spark, scores.max_confidence(F.lit(None).cast("double"), parts, "none")) == 0.0
+    assert one(spark, scores.half_life(F.lit(8.0), F.lit(20.0), 10.0)) == 2.0
+    assert one(spark, scores.first_full(F.lit(" "), F.lit("b"))) == "b"
+    assert one(spark, pages.host_is_dead(F.lit(2), F.lit("2031-01-01").cast("timestamp"), F.lit("2031-01-05").cast("timestamp"))) is True
