@@ -58,8 +58,10 @@ def words_of(text: str, known: dict[str, str] | None = None) -> tuple[list[str],
 class Automaton:
     """Generalised suffix automaton of the items' words. ``seeds[s]`` holds every (item, position) at which the last ``seed`` words read occur."""
 
-    def __init__(self, items: list[tuple[object, list[str]]], seed: int):
+    def __init__(self, items: list[tuple[object, list[str]]], seed: int, common: list[set[int]] | None = None):
+        """``common`` holds, for each item, where the runs of ``seed`` words begin that more than two texts have."""
         self.seed, self.names = seed, [name for name, _ in items]
+        self.common = common or [set()] * len(items)
         step, link, size = [{}], [-1], [0]
         ends: list[list[tuple[int, int]]] = [[]]
         for k, (_, words) in enumerate(items):
@@ -91,7 +93,6 @@ class Automaton:
                 up = link[s]
                 h = self.home[s] = s if size[up] < seed else self.home[up]
                 self.seeds.setdefault(h, []).extend(ends[s])
-        self.rare = {h: len({k for k, _ in at}) <= 2 for h, at in self.seeds.items()}
 
     @staticmethod
     def _clone(step, link, size, ends, p, w, q) -> int:
@@ -104,8 +105,8 @@ class Automaton:
         return new
 
     def read(self, words: list[str]) -> dict[int, list[tuple[int, int, bool]]]:
-        """Item -> (position in ``words``, position in the item, whether at most two items have it) of the ends of all shared runs of ``seed`` words."""
-        step, link, size, home, seeds, rare, need = self.step, self.link, self.size, self.home, self.seeds, self.rare, self.seed
+        """Item -> (position in ``words``, position in the item, whether at most two texts have it) of the ends of all shared runs of ``seed`` words."""
+        step, link, size, home, seeds, common, need = self.step, self.link, self.size, self.home, self.seeds, self.common, self.seed
         s = n = 0
         hits: dict[int, list[tuple[int, int, bool]]] = {}
         for i, w in enumerate(words):
@@ -115,15 +116,15 @@ class Automaton:
             s = step[s].get(w, 0)
             n = n + 1 if s else 0
             if n >= need:
-                h = home[s]
-                for k, pos in seeds[h]:
-                    hits.setdefault(k, []).append((i, pos, rare[h]))
+                for k, pos in seeds[home[s]]:
+                    hits.setdefault(k, []).append((i, pos, pos - need + 1 not in common[k]))
         return hits
 
 
-def chains(hits: list[tuple[int, int, bool]], seed: int, gap: int) -> Iterator[tuple[int, int, int, int, int, int]]:
-    """(matched words, first, last word in the text, first, last word in the item, rare runs) of the runs that follow each other in both, at most ``gap`` words apart."""
+def chains(hits: list[tuple[int, int, bool]], seed: int, gap: int, least: float = 0) -> Iterator[tuple[int, int, int, int, int, int, list[tuple[int, int]]]]:
+    """(matched words, first, last word in the text, first, last word in the item, rare runs, ends of the runs) of the runs that follow each other in both, at most ``gap`` words apart, if ``least`` words match."""
     best: list[tuple[int, int, int, int]] = []  # matched words, first in the text, first in the item, rare runs
+    before: list[int] = []
     used = set()
     low = 0
     hits = sorted(set(hits))
@@ -142,9 +143,91 @@ def chains(hits: list[tuple[int, int, bool]], seed: int, gap: int) -> Iterator[t
         if back >= 0:
             used.add(back)
         best.append(mine)
+        before.append(back)
     for j, (i, p, _) in enumerate(hits):
-        if j not in used:
-            yield best[j][0], best[j][1], i, best[j][2], p, best[j][3]
+        if j not in used and best[j][0] >= least:
+            ends, h = [], j
+            while h >= 0:
+                ends.append(hits[h][:2])
+                h = before[h]
+            yield best[j][0], best[j][1], i, best[j][2], p, best[j][3], ends[::-1]
+
+
+def _onward(words: list[str], i: int, item: list[str], p: int, step: int, changes: int) -> list[tuple[int, int]]:
+    """Equal words (position in ``words``, in ``item``) from a place on, in the direction ``step``, over at most ``changes`` changed or left out words."""
+    out = []
+    while 0 <= i < len(words) and 0 <= p < len(item) and words[i] == item[p]:
+        out.append((i, p))
+        i, p = i + step, p + step
+    if changes and 0 <= i < len(words) and 0 <= p < len(item):
+        out += max((_onward(words, at, item, p + step, step, changes - 1) for at in (i + step, i)), key=len)
+    return out
+
+
+def _between(words: list[str], text: range, item: list[str], own: range) -> dict[int, int]:
+    """Most equal words (position in ``item`` -> in ``words``) of two short ranges, in their order."""
+    best: list[dict[int, int]] = [{} for _ in range(len(text) + 1)]
+    for q in own:
+        row = [best[0]]
+        for k, i in enumerate(text):
+            row.append(best[k] | {q: i} if words[i] == item[q] else max(best[k + 1], row[k], key=len))
+        best = row
+    return best[-1]
+
+
+def kept_words(words: list[str], item: list[str], chain: tuple, seed: int, changes: int) -> tuple[dict[int, int], dict[int, int]]:
+    """(position in the item -> in ``words``, of every equal word of a chain, words between its runs and up to ``changes`` changes past its ends included; words too many before a position in the item)."""
+    kept = {p - s: i - s for i, p in chain[6] for s in range(seed)}
+    runs, extra = sorted(kept), {}
+    for a, b in zip(runs, runs[1:]):
+        if kept[b] - kept[a] > b - a:
+            extra[b] = kept[b] - kept[a] - (b - a)
+        kept |= _between(words, range(kept[a] + 1, kept[b]), item, range(a + 1, b))
+    for i, p in _onward(words, chain[1] - 1, item, chain[3] - 1, -1, changes) + _onward(words, chain[2] + 1, item, chain[4] + 1, 1, changes):
+        kept[p] = i
+    return kept, extra
+
+
+def passage(kept: dict[int, int], extra: dict[int, int], length: int, least_words: int, most_changed: float, stock: set[int]) -> list[int]:
+    """Positions of the kept words of an item of ``length`` words from the first to the last that belongs to a window of
+    ``least_words`` or more of its words of which about ``most_changed`` are changed, left out or too many; empty if there
+    is none. Windows whose wording is stock throughout don't count; ``stock`` holds where such wording begins."""
+    low, high = max(0, min(kept) - least_words), min(length, max(kept) + 1 + least_words)
+    total = [0]
+    for q in range(low, high):
+        total.append(total[-1] + (q in kept) - extra.get(q, 0))
+    first = last = None
+    for n in range(least_words, min(high - low, least_words + least_words // 2) + 1):
+        need = n - int(n * most_changed + 0.5)
+        for p in range(low, high - n + 1):
+            if total[p + n - low] - total[p - low] >= need:
+                own = [q for q in range(p, p + n) if q in kept]
+                if not all(q in stock for q in range(own[0], own[-1] + 2 - stock_words(least_words, most_changed))):
+                    first, last = own[0] if first is None else min(first, own[0]), own[-1] if last is None else max(last, own[-1])
+    return [] if first is None else [q for q in sorted(kept) if first <= q <= last]
+
+
+def stock_words(least_words: int, most_changed: float) -> int:
+    """Words of the shortest passage: ``least_words`` without the changed ones."""
+    return least_words - int(least_words * most_changed + 0.5)
+
+
+def plain_items(items: DataFrame, lengths: list[int]) -> DataFrame:
+    """(item_id, words, text_key, common): the items' normalised words, a key of equal texts, and for each of ``lengths`` where the runs of so many words begin that stand in more than two different texts."""
+    kind = items.schema["item_id"].dataType.simpleString()
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column("item_id"), pa.array([words_of(t)[0] for t in b.column("text").to_pylist()], pa.list_(pa.string()))], ["item_id", "words"])
+
+    plain = items.mapInArrow(read, f"item_id {kind}, words array<string>").withColumn("text_key", F.sha2(F.array_join("words", " "), 256))
+    texts = plain.select("text_key", "words").dropDuplicates(["text_key"])
+    for k, n in enumerate(lengths):
+        starts = F.sequence(F.lit(0), F.size("words") - n)
+        runs = texts.where(F.size("words") >= n).select("text_key", F.explode(starts).alias("pos"), "words").select("text_key", "pos", F.array_join(F.slice("words", F.col("pos") + 1, n), " ").alias("run"))
+        many = runs.select("run", "text_key").distinct().groupBy("run").agg(F.count("*").alias("n")).where("n > 2").select("run")
+        plain = plain.join(runs.join(many, "run").groupBy("text_key").agg(F.collect_list("pos").alias(f"common{k}")), "text_key", "left")
+    return plain.select("item_id", "words", "text_key", F.array(*(F.coalesce(f"common{k}", F.array().cast("array<int>")) for k in range(len(lengths)))).alias("common"))
 
 
 def leaks(
@@ -160,66 +243,95 @@ def leaks(
     seed: int = 3,
     gap: int = 5,
     block_words: int = 200_000,
+    most_changed: float = 0.1,
 ) -> DataFrame:
     """Passages of items in documents: (doc_id, item_id, matched, span, coverage, begin, end).
 
     Words are compared without letter case, punctuation, accents, invisible signs and markup. Each text is streamed
     once through a generalised suffix automaton of the items' words; the matches of at least ``seed`` words are
     chained where they follow each other in text and item, at most ``gap`` words apart, so that changed and missing
-    words do not break a passage. A passage is reported if it spans ``least_words`` words of the item (a tenth less,
-    as its ends may be changed words), of which ``least_share`` match, and if it is the item's own: ``least_rare`` of
-    its runs stand in at most two items, or it has half as many words again; stock sentences that many items share
-    are no evidence by themselves. ``coverage`` is the share of the item that it spans; ``begin`` and ``end`` are its place
-    in the text. Of overlapping passages of one item the longest is reported.
+    words do not break a passage. A passage is reported
+
+    * if ``least_words`` or more words of the item stand in the text in their order, about ``most_changed`` of them
+      changed or left out. Wording that more than two different item texts have throughout is stock and doesn't count,
+      and where another item's passage has more of the text's words of that place, the passage is that item's;
+    * if it spans ``least_words`` words of the item (a tenth less, as its ends may be changed words), of which
+      ``least_share`` match, and ``least_rare`` of its runs stand in at most two different item texts, or it has half
+      as many words again.
+
+    ``coverage`` is the share of the item that it spans; ``begin`` and ``end`` are its place in the text. Of
+    overlapping passages of one item the longest is reported.
 
     The items are taken in blocks of about ``block_words`` words, each of which is held by every task, and every
-    block meets all documents; so memory does not grow with either table. Null, empty and blank texts, and null
-    ids, have no passages. Repeated documents and repeated items each come out once for every repetition. Whole
-    texts are read. Empty tables give no rows.
+    block meets all documents; so memory does not grow with either table, and what is common to items is counted over
+    all of them. Null, empty and blank texts, and null ids, have no passages. Repeated documents and repeated items
+    each come out once for every repetition. Whole texts are read. Empty tables give no rows.
     """
-    docs = spread(documents.where(F.col(text).isNotNull() & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
+    docs = spread(documents.where(F.col(text).isNotNull() & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))).withColumn("doc_key", F.xxhash64("text"))
     known = items.where(F.col(item_id).isNotNull() & F.col(item_text).isNotNull()).select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text"))
     kinds = docs.schema["doc_id"].dataType.simpleString(), known.schema["item_id"].dataType.simpleString()
-    schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, matched int, span int, coverage double, begin int, end int"
+    schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, matched int, span int, coverage double, begin int, end int, doc_key long, text_key string, close boolean, at array<int>"
+    changes = int(least_words * most_changed + 0.5)
 
-    def against(block: list[tuple[object, list[str]]]) -> DataFrame:
-        held = documents.sparkSession.sparkContext.broadcast((Automaton(block, seed), [len(w) for _, w in block]))
+    def against(block: list[tuple[object, list[str], str, list[set[int]]]]) -> DataFrame:
+        tree = Automaton([(name, words) for name, words, _, _ in block], seed, [common[0] for *_, common in block])
+        held = documents.sparkSession.sparkContext.broadcast((tree, [(words, key, common[1]) for _, words, key, common in block]))
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            tree, lengths = held.value
+            tree, told = held.value
             seen: dict[str, str] = {}
             for b in batches:
-                out: list[list] = [[] for _ in range(7)]
-                for d, t in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True):
+                out: list[list] = [[] for _ in range(11)]
+                for d, t, dk in zip(b.column("doc_id").to_pylist(), b.column("text"), b.column("doc_key").to_pylist(), strict=True):
                     words, first, last = words_of(t.as_py(), seen)
                     if len(words) < least_words * least_share:
                         continue
                     for k, hits in tree.read(words).items():
                         if len(hits) < least_words * least_share * 0.4:
                             continue
-                        kept: list[tuple[int, int, int, int, int]] = []
-                        for c in sorted(chains(hits, seed, gap), key=lambda c: (-c[0], c[1], c[3])):
+                        item, key, stock = told[k]
+                        got = []
+                        # Past its ends, and between its runs, a passage has more equal words than the runs hold.
+                        for c in chains(hits, seed, gap, 0.6 * least_words):
                             span = c[4] - c[3] + 1
-                            own = c[5] >= least_rare or c[0] >= 1.5 * least_words
-                            if own and span >= 0.9 * least_words and c[0] >= least_share * span and all(c[2] < o[1] or c[1] > o[2] for o in kept):
-                                kept.append(c)
-                        for n, i, j, p, q, _ in kept:
-                            for column, v in zip(out, (d, tree.names[k], n, q - p + 1, (q - p + 1) / lengths[k], first[i], last[j]), strict=True):
-                                column.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, _types(b, kinds[1]), strict=True)], ["doc_id", "item_id", "matched", "span", "coverage", "begin", "end"])
+                            if span >= 0.9 * least_words and c[0] >= least_share * span and (c[5] >= least_rare or c[0] >= 1.5 * least_words):
+                                at = sorted({i - s for i, _ in c[6] for s in range(seed)})
+                                got.append((c[0], c[1], c[2], c[3], c[4], False, at))
+                            else:
+                                kept, extra = kept_words(words, item, c, seed, changes + 1)
+                                if own := passage(kept, extra, len(item), least_words, most_changed, stock):
+                                    at = sorted(kept[q] for q in own)
+                                    got.append((len(own), at[0], at[-1], own[0], own[-1], True, at))
+                        taken: list[tuple[int, int]] = []
+                        for n, i, j, p, q, close, at in sorted(got, key=lambda c: (-c[0], c[1], c[3])):
+                            if all(j < o or i > u for o, u in taken):
+                                taken.append((i, j))
+                                row = (d, tree.names[k], n, q - p + 1, (q - p + 1) / len(item), first[i], last[j], dk, key, close, at)
+                                for column, v in zip(out, row, strict=True):
+                                    column.append(v)
+                types = [*_types(b, kinds[1]), pa.int64(), pa.string(), pa.bool_(), pa.list_(pa.int32())]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], [f.split(" ")[0] for f in schema.split(", ")])
 
         return docs.mapInArrow(scan, schema)
 
     found, block, size = None, [], 0
-    for row in known.toLocalIterator():
-        words = words_of(row["text"])[0]
-        block.append((row["item_id"], words))
-        size += len(words)
+    for row in plain_items(known, [seed, stock_words(least_words, most_changed)]).toLocalIterator():
+        block.append((row["item_id"], row["words"], row["text_key"], [set(c) for c in row["common"]]))
+        size += len(row["words"])
         if size >= block_words:
             found, block, size = (against(block) if found is None else found.unionByName(against(block))), [], 0
     if block or found is None:
         found = against(block) if found is None else found.unionByName(against(block))
-    return found
+    return _own(found)
+
+
+def _own(found: DataFrame) -> DataFrame:
+    """``found`` without the close wordings of whose place in the text another item's passage has more words."""
+    names = ["item_id", "matched", "span", "coverage", "begin", "end"]
+    more = lambda x: lambda y: (y["text_key"] != x["text_key"]) & (F.size(F.filter(y["at"], lambda i: (i >= F.array_min(x["at"])) & (i <= F.array_max(x["at"])))) > F.size(x["at"]))
+    all_ = found.groupBy("doc_id", "doc_key").agg(F.collect_list(F.struct(*names, "text_key", "close", "at")).alias("all"))
+    left = all_.select("doc_id", F.explode(F.filter("all", lambda x: ~(x["close"] & F.exists("all", more(x))))).alias("one"))
+    return left.select("doc_id", *(F.col(f"one.{n}").alias(n) for n in names))
 
 
 def _types(batch: pa.RecordBatch, item_kind: str) -> list[pa.DataType]:

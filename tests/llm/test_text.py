@@ -73,6 +73,27 @@ def test_stock_wording_of_many_items_is_no_leak(spark):
     assert _leaks(spark, [(1, "we say that " + stock, "x")], items).count() == 0
 
 
+def test_passages_of_shared_wording_are_leaks(spark):
+    rng = random.Random(6)
+    pieces = [" ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(7)) for _ in range(6)]
+    # Each piece stands in three items and more, but none of their passages of 20 words does.
+    items = [(k, " ".join(rng.sample(pieces, 5))) for k in range(12)] + [(k, ITEM) for k in (20, 21, 22)]
+    w, t = items[0][1].split(), ITEM.split()
+    changed = [x if i not in (1, 17) else "changed" for i, x in enumerate(t[5:25])]
+    docs = [
+        (1, "Before " + " ".join(w[4:24]), "x"), (2, " ".join(w[4:23]), "x"), (3, " ".join(t[3:23]) + " after", "x"), (4, " ".join(t[3:20]) + " after", "x"), (5, " ".join(changed), "x"),
+        (6, " ".join(x for i, x in enumerate(w[4:25]) if i not in (6, 12)), "x"), (7, items[0][1], "x"),
+    ]
+    for kw in ({}, {"block_words": 40}):
+        got = {(r.doc_id, r.item_id) for r in _leaks(spark, docs, items, **kw).collect()}
+        assert {(1, 0), (6, 0), (7, 0)} <= got and {(d, k) for d in (3, 5) for k in (20, 21, 22)} <= got
+        assert not any(d == 4 for d, _ in got)
+    # Where one item is held whole, others that differ from it in two words of 20 are not.
+    near = [(40, ITEM)] + [(k, " ".join(f"other{k}" if i in (6, 12) else x for i, x in enumerate(t[5:25])) + f" {k} and {OTHER}") for k in (41, 42, 43)]
+    for kw in ({}, {"block_words": 40}):
+        assert {r.item_id for r in _leaks(spark, [(1, ITEM, "x")], near, **kw).collect()} == {40}
+
+
 def test_scrub(spark):
     docs = spark.createDataFrame([(1, f"Before. {ITEM} After."), (2, "clean"), (3, None)], "doc_id long, text string")
     found = leakage.leaks(docs, spark.createDataFrame([(1, ITEM)], "item_id long, text string"))
