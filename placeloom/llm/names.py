@@ -162,14 +162,8 @@ def plain_names(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.mapInArrow(read, df.schema)
 
 
-def similar(forms: DataFrame, least: float = 0.25, gram: int = 4, power: float = 3.0, floor: int = 5, top: int | None = None) -> DataFrame:
-    """Pairs (a, b, sim), a < b, of ``forms`` (form_id, form) whose n-gram vectors have a cosine of ``least``.
-
-    Vectors hold the character n-grams of the words with weights log(1 + N / max(df, floor)) ** power over all forms.
-    Each vector keeps its rarest grams and drops the commonest as long as those have less than ``least`` of its
-    length; pairs that reach ``least`` share a kept gram, so joining on kept grams misses none. Kept vectors are what
-    the cosine is taken of. ``top`` keeps the best partners of each form only; None keeps all.
-    """
+def _weighed(forms: DataFrame, gram: int, power: float, floor: int) -> DataFrame:
+    """(gram, form_id, df, w, all, upto, n): weight of each gram of each form, their sum of squares, the same up to this gram from the commonest on, and the number of forms."""
     word = lambda w: F.concat(F.lit("^"), w, F.lit("$"))
     cuts = lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.length(w) - gram + 1, F.lit(1))), lambda i: F.substr(w, i, F.lit(gram)))
     long = F.filter(F.split("form", " "), lambda w: F.length(w) > 2)
@@ -179,11 +173,72 @@ def similar(forms: DataFrame, least: float = 0.25, gram: int = 4, power: float =
     weighed = grams.join(df, "gram").withColumn("w", F.pow(F.log(1 + F.lit(float(n)) / F.greatest("df", F.lit(floor))), F.lit(power)))
     mine = Window.partitionBy("form_id")
     sums = weighed.withColumn("all", F.sum(F.col("w") * F.col("w")).over(mine)).withColumn("upto", F.sum(F.col("w") * F.col("w")).over(mine.orderBy(F.desc("df"), "gram").rowsBetween(Window.unboundedPreceding, 0)))
+    return sums.withColumn("n", F.lit(float(n)))
+
+
+def similar(forms: DataFrame, least: float = 0.25, gram: int = 4, power: float = 3.0, floor: int = 5, top: int | None = None) -> DataFrame:
+    """Pairs (a, b, sim), a < b, of ``forms`` (form_id, form) whose n-gram vectors have a cosine of ``least``.
+
+    Vectors hold the character n-grams of the words with weights log(1 + N / max(df, floor)) ** power over all forms.
+    Each vector keeps its rarest grams and drops the commonest as long as those have less than ``least`` of its
+    length; pairs whose whole vectors reach ``least`` share a kept gram. The cosine is taken of the kept vectors only, so
+    it is lower than that of the whole ones and pairs near ``least`` are left out; :func:`alike` takes the whole ones. ``top`` keeps the best partners of each form only; None keeps all.
+    """
+    sums = _weighed(forms, gram, power, floor)
     kept = cut(sums.where(F.col("upto") >= least * least * F.col("all")).select("gram", "form_id", (F.col("w") / F.sqrt("all")).alias("w")))
     left, right = kept.toDF("gram", "a", "wa"), kept.toDF("gram", "b", "wb")
     pairs = left.join(right, "gram").where("a < b").groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("sim")).where(F.col("sim") >= least)
-    if top is None:
-        return pairs
+    return pairs if top is None else _best(pairs, top)
+
+
+def grams_of(form: str, gram: int) -> list[str]:
+    """The different n-grams of a form, those of its words of three letters or more with their ends marked, in order."""
+    words = [f"^{w}$" for w in form.split(" ") if len(w) > 2]
+    return sorted({w[i : i + gram] for w in words for i in range(max(len(w) - gram + 1, 1))})
+
+
+def alike(forms: DataFrame, least: float = 0.25, gram: int = 4, power: float = 3.0, floor: int = 50, top: int | None = None) -> DataFrame:
+    """Pairs (a, b, sim), a < b, of ``forms`` (form_id, form) that can be of one entity (:func:`same_name`) and whose whole n-gram vectors have a cosine of ``least``.
+
+    Candidates share a kept gram of the steep vectors of :func:`similar`, so no pair that reaches ``least`` by those is
+    missed; the cosine is taken of whole vectors with weights log(1 + N / max(df, floor)). Up to ``floor`` forms, a
+    gram weighs the same however many have it, so that an entity's own grams don't vanish beside its typing errors.
+    The forms of a gram are compared where they lie, and each pair at the first gram that both have kept, so pairs are
+    never shuffled. ``top`` keeps the best partners of each form only; None keeps all.
+    """
+    weighed = _weighed(forms, gram, power, floor).withColumn("flat", F.log(1 + F.col("n") / F.greatest("df", F.lit(floor))))
+    # Weights in the order of the grams, negative for those that are not kept.
+    signed = F.when(F.col("upto") >= least * least * F.col("all"), F.col("flat")).otherwise(-F.col("flat"))
+    whole = weighed.groupBy("form_id").agg(F.array_sort(F.collect_list(F.struct("gram", signed.alias("w")))).alias("v")).join(forms, "form_id")
+    rows = whole.select("form_id", "form", F.transform("v", lambda x: x["w"].cast("float")).alias("w"), F.explode(F.filter("v", lambda x: x["w"] > 0)["gram"]).alias("gram"))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[int, tuple[str, ...], dict[str, float], set[str]]] = []
+        last = None
+        for b in batches:
+            out: list[tuple[int, int, float]] = []
+            for at, me, form, w in zip(*(b.column(c).to_pylist() for c in ("gram", "form_id", "form", "w")), strict=True):
+                if at != last:
+                    held, last = [], at
+                length = sum(x * x for x in w) ** 0.5
+                mine = dict(zip(grams_of(form, gram), w, strict=True))
+                kept = {g for g, x in mine.items() if x > 0}
+                mine = {g: abs(x) / length for g, x in mine.items()}
+                words = tuple(form.split(" "))
+                for other, theirs, vector, has in held:
+                    if min(kept & has) == at:
+                        sim = sum(mine[g] * vector[g] for g in mine.keys() & vector.keys())
+                        if sim >= least and same_name(words, theirs):
+                            out.append((other, me, sim) if other < me else (me, other, sim))
+                held.append((me, words, mine, kept))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.float64()))], ["a", "b", "sim"])
+
+    parts = int(forms.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = rows.repartition(parts, "gram").sortWithinPartitions("gram", "form_id").mapInArrow(meet, "a long, b long, sim double")
+    return pairs if top is None else _best(pairs, top)
+
+
+def _best(pairs: DataFrame, top: int) -> DataFrame:
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
     best = both.withColumn("nth", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("sim"), "b"))).where(F.col("nth") <= top)
     return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "sim").distinct()
@@ -266,8 +321,8 @@ def link_names(records: DataFrame, id: str, name: str, other: str | None = None,
     """The entity of every record with a name: (id, entity).
 
     Names are put into plain form (idle words dropped, shortened words and nicknames written out, order ignored) and
-    each distinct form gets an n-gram vector (:func:`similar`). Candidate pairs over the threshold are checked word by
-    word (:func:`same_name`) and grouped by average linkage. A name in ``other`` connects the entity of its record with
+    each distinct form gets an n-gram vector. Pairs over the threshold are checked word by word (:func:`alike`) and
+    grouped by average linkage. A name in ``other`` connects the entity of its record with
     the one that is registered under it, if the records of one entity only use it; a name that several entities use,
     or that nobody registered, connects nothing.
 
@@ -277,15 +332,7 @@ def link_names(records: DataFrame, id: str, name: str, other: str | None = None,
     src = records.where(F.col(id).isNotNull()).select(F.col(id).alias("id"), F.col(name).alias("name"), (F.col(other) if other else F.lit(None)).cast("string").alias("other")).distinct()
     rows = cut(plain_names(src, ["name", "other"]).where("name is not null"))
     forms = cut(rows.select(F.col("name").alias("form")).union(rows.select("other")).where("form is not null").distinct().withColumn("form_id", F.monotonically_increasing_id()))
-    close = similar(forms, least, top=top)
-
-    def strict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ok = [same_name(tuple(x.split(" ")), tuple(y.split(" "))) for x, y in zip(b.column("fa").to_pylist(), b.column("fb").to_pylist(), strict=True)]
-            yield b.filter(pa.array(ok, pa.bool_())).select(["a", "b", "sim"])
-
-    spelt = close.join(forms.toDF("fa", "a"), "a").join(forms.toDF("fb", "b"), "b").select("a", "b", "sim", "fa", "fb")
-    links = cut(spelt.mapInArrow(strict, "a long, b long, sim double").withColumn("sim", 0.5 + F.col("sim") / 2))
+    links = cut(alike(forms, least, top=top).withColumn("sim", 0.5 + F.col("sim") / 2))
     groups = cut(forms.join(cluster(links, mean), F.col("form_id") == F.col("node"), "left").select("form", F.coalesce("cluster", "form_id").alias("cluster")))
     known = cut(rows.join(groups.toDF("name", "mine"), "name").join(groups.toDF("other", "theirs"), "other", "left").select("id", "mine", "theirs"))
     used = known.where("theirs is not null and theirs <> mine").groupBy("theirs").agg(F.min("mine").alias("mine"), F.max("mine").alias("also")).where("mine = also")

@@ -111,6 +111,43 @@ def test_similar_pairs_equal_brute_force(spark):
     assert got == pytest.approx({p: v for p, v in want.items() if v >= least})
 
 
+def _spellings():
+    """60 forms with one letter of one firm's name changed, among 900 others."""
+    rng = random.Random(11)
+    other = [(1000 + i, " ".join(sorted("".join(rng.choices("abdefgiklmnoprstu", k=9)) for _ in range(2)))) for i in range(900)]
+    right = "kasnomulberi"
+    spelt = sorted({right[:i] + c + right[i + 1 :] for i in range(len(right)) for c in "xqzwv"})
+    return [(0, right), *enumerate(spelt, 1)], other
+
+
+def test_spellings_of_one_name_all_meet_the_right_one(spark):
+    mine, other = _spellings()
+    got = {(r.a, r.b) for r in names.alike(spark.createDataFrame(mine + other, "form_id long, form string")).collect()}
+    assert {(0, k) for k, _ in mine[1:]} <= got
+
+
+def test_alike_pairs_equal_brute_force(spark):
+    import math
+
+    mine, other = _spellings()
+    forms = mine[::3] + other[:40] + [(5000 + k, f.replace("a", "e", 1)) for k, f in other[:40]] + [(9000, "li"), (9001, "li wu")]
+    got = {(r.a, r.b): r.sim for r in names.alike(spark.createDataFrame(forms, "form_id long, form string"), floor=5).collect()}
+    grams = {i: names.grams_of(f, 4) for i, f in forms}
+    df = {}
+    for s in grams.values():
+        for g in s:
+            df[g] = df.get(g, 0) + 1
+    vec = {i: {g: math.log(1 + len(forms) / max(df[g], 5)) for g in s} for i, s in grams.items()}
+    size = {i: math.sqrt(sum(x * x for x in v.values())) for i, v in vec.items()}
+    steep = {i: {g: x**3 for g, x in v.items()} for i, v in vec.items()}
+    long = {i: math.sqrt(sum(x * x for x in v.values())) for i, v in steep.items()}
+    cosine = lambda v, n, a, b: sum(x * v[b].get(g, 0) for g, x in v[a].items()) / (n[a] * n[b]) if n[a] * n[b] else 0
+    text = {i: tuple(f.split(" ")) for i, f in forms}
+    like = {(a, b): cosine(vec, size, a, b) for a, b in itertools.combinations(sorted(vec), 2) if names.same_name(text[a], text[b])}
+    assert all(got[p] == pytest.approx(v, abs=1e-5) for p, v in like.items() if p in got) and got.keys() <= like.keys()
+    assert {p for p, v in like.items() if v >= 0.25 and cosine(steep, long, *p) >= 0.25} <= got.keys() <= {p for p, v in like.items() if v >= 0.2499}
+
+
 def test_linkage_by_rounds_equals_linkage_in_one_task(spark):
     rng = random.Random(1)
     links = [(a, b, round(rng.random(), 6)) for a, b in itertools.combinations(range(14), 2) if rng.random() < 0.5]
