@@ -56,19 +56,26 @@ def plain(records: DataFrame, id: str, name: str, postcode: str, website: str) -
 
 
 def _keys():
-    """Blocking keys: own page, own host, postcode. A postcode that many records have is split: by host, and by the beginning and the end of each word."""
+    """Blocking keys: own page, own host, postcode. A postcode that many records have is split: by host, and by each word, what is left of it without the letters that may be mistyped, its beginning and its end."""
     told = lambda kind, ok, *parts: F.when(ok, F.concat_ws("|", F.lit(kind), *parts))
-    long = F.filter(F.split("words", " "), lambda w: F.length(w) > 3)
     coded = F.col("code") != ""
-    ends = lambda kind, cut_: F.when(coded & F.col("busy"), F.transform(long, lambda w: F.concat_ws("|", F.lit(kind), F.col("code"), cut_(w))))
+    words = F.filter(F.split("words", " "), lambda w: F.length(w) > 0)
+    without = lambda w: F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.concat(F.substr(w, F.lit(1), i - 1), F.substr(w, i + 1)))
+    twice = lambda w: F.flatten(F.transform(without(w), without))
+    none = F.array().cast("array<string>")
+    # Words of six letters may have two letters mistyped, words of four one (same_name); words so far apart share what is left without as many letters.
+    near_ = F.flatten(F.transform(words, lambda w: F.concat(F.array(w), F.when(F.length(w) > 3, without(w)).otherwise(none), F.when(F.length(w) > 5, twice(w)).otherwise(none))))
+    # One word that is two of the other name begins or ends with one of them.
+    long = F.filter(words, lambda w: F.length(w) > 2)
+    told_all = lambda kind, parts: F.when(coded & F.col("busy"), F.transform(parts, lambda v: F.concat_ws("|", F.lit(kind), F.col("code"), v)))
     single = F.array(
         told("g", (F.col("page") != "") & ~F.col("platform"), "page"),
         told("w", (F.col("host") != "") & ~F.col("shared"), "host"),
         told("c", coded & ~F.col("busy"), "code"),
         told("h", coded & F.col("busy") & (F.col("host") != "") & ~F.col("platform"), "code", "host"),
     )
-    none = F.array().cast("array<string>")
-    return F.array_distinct(F.array_compact(F.concat(single, F.coalesce(ends("n", lambda w: F.substring(w, 1, 3)), none), F.coalesce(ends("m", lambda w: F.substring(w, -3, 3)), none))))
+    parts = (("v", near_), ("n", F.transform(long, lambda w: F.substring(w, 1, 3))), ("m", F.transform(long, lambda w: F.substring(w, -3, 3))))
+    return F.array_distinct(F.array_compact(F.concat(single, *(F.coalesce(told_all(kind, some), none) for kind, some in parts))))
 
 
 def shortened(word: str) -> set[str]:
@@ -179,7 +186,7 @@ def match(left: DataFrame, right: DataFrame, id: str = "id", name: str = "name",
     """Matched records of two sources with a confidence: (left_id, right_id, p).
 
     Records are put into plain form; equal ones are matched as one class. Classes that share a blocking key (own page,
-    own host, postcode; busy postcodes with host, or with the beginning or end of a word of the name) are candidates; their
+    own host, postcode; busy postcodes with host, or with a word of the name but for typing, or its beginning or end) are candidates; their
     prior log-odds count the attributes that speak for the pair. A chain's name and home page count as one, an
     address on a platform as none, the page of a branch decides. Belief propagation (:func:`propagate`) then lets each
     right record have at most one left record (and, with ``left_once``, the reverse) and gives each pair its marginal;

@@ -178,6 +178,26 @@ def test_two_of_three_attributes(spark, monkeypatch, busy):
     assert _match(spark, [], right) == set() == _match(spark, left, [])
 
 
+def test_busy_postcode_loses_no_name_that_agrees(spark):
+    rng = random.Random(8)
+    made = lambda n: "".join(rng.choices("abdefgiklmnoprstu", k=n))
+    names_ = [made(5) for _ in range(25)] + [made(4) for _ in range(15)] + [f"{made(8)} {made(9)}" for _ in range(20)] + ["Xi Wu", "Bo Li Fumlakford"]
+
+    def typo(w):
+        if len(w) > 6:
+            return w[0] + "x" + w[2:-2] + "z" + w[-1]
+        return w[: len(w) // 2] + "x" + w[len(w) // 2 + 1 :]
+
+    left = [(f"o{k}", n, "QN1 1AA", None) for k, n in enumerate(names_)]
+    right = [(f"s{k}", " ".join(typo(w) if k < 60 and (i == 0 or len(w) < 6) else w for i, w in enumerate(n.split())) if k != 61 else "Bo Li", "QN1 1AA", None) for k, n in enumerate(names_)]
+    plain = lambda n: " ".join(matching.words_of(n))
+    towns = {v: {"fumlakford"} for v in matching.shortened("fumlakford")}
+    agree = {(a[0], b[0]) for a in left for b in right if matching.agree_name(plain(a[1]), plain(b[1]), towns)}
+    assert len(left) > matching.BUSY_CODE and {(f"o{k}", f"s{k}") for k in range(62)} <= agree
+    once = {p for p in agree if sum(q[1] == p[1] for q in agree) == 1}
+    assert once <= _match(spark, left, right)
+
+
 def test_twins_share_their_probability(spark):
     left = [("o1", "Pellworth Bakes", "QN1 1AA", None), ("o2", "Pellworth Bakes", "QN1 1AA", None)]
     assert _match(spark, left, [("s", "Pellworth Bakes", "QN1 1AA", None)]) == set()
