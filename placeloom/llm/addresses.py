@@ -269,7 +269,7 @@ def same_premises(records: DataFrame, id: str = "id", address: str = "address",
     Addresses are taken apart (number with letter or range, unit, street, kind of street, postcode, town) in any
     order of parts; floors, entrances, directions and countries are left out; shortened kinds are written out.
     Equal forms are one from then on. Multi-pass sorted neighbourhoods follow: by town and street, by town and
-    street read backwards, by postcode, and by the street's first letters; in each pass a form is compared with the
+    street read backwards, by postcode, and by the street's first and by its last letters; in each pass a form is compared with the
     ``window`` forms before it in its block and with all before it that begin with the same ``shared`` letters, so
     that long blocks lose nothing. Two forms match (:func:`same_place`) if number, letter and unit are equal and
     street, postcode and town agree but for mistyped or transposed letters. Matches are closed transitively.
@@ -286,6 +286,7 @@ def same_premises(records: DataFrame, id: str = "id", address: str = "address",
         .unionByName(_pass(distinct, place, F.reverse("name"), window, shared))
         .unionByName(_pass(distinct.where("length(code) >= 5 and code not like '%*'"), [*strict, "code"], F.col("name"), window, shared))
         .unionByName(_pass(distinct, [*strict, F.substring("name", 1, 3)], F.concat("name", F.lit(" "), "town"), window, 4))
+        .unionByName(_pass(distinct, [*strict, F.reverse(F.substring("name", -3, 3))], F.concat(F.reverse("name"), F.lit(" "), "town"), window, 4))
     )
     found = components(edges)
     return known.select("id", "form").join(found, F.col("form") == F.col("node"), "left").select("id", F.coalesce("component", "form").alias("location"))

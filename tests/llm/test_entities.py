@@ -63,6 +63,11 @@ def test_neighbourhoods_miss_nothing_that_every_pair_would_find(spark):
     assert got == sorted(map(sorted, want.values()))
 
 
+def test_a_form_without_town_meets_a_street_mistyped_at_its_beginning(spark):
+    rows = [("a", "5 Victoria Parade, Bemnysley", None, TOWN), ("b", "5 Voctoria Parade, Bemnysey", None, None), ("c", "5 Victorai Parade, Bemnysey", None, None)]
+    assert _places(spark, rows)[0] == [["a", "b", "c"]]
+
+
 NAME = "alias_id long, registered string, trading string, entity string"
 
 
