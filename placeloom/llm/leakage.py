@@ -340,12 +340,12 @@ def _types(batch: pa.RecordBatch, item_kind: str) -> list[pa.DataType]:
 
 
 def scrub(documents: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text", least_words: int = 20, most_coverage: float = 1.0) -> DataFrame:
-    """``documents`` with the found passages cut out that have ``least_words`` words or cover ``most_coverage`` of an item; adds ``removed`` (characters).
+    """``documents`` with the found passages cut out that span ``least_words`` words (a tenth less, as in :func:`leaks`) or cover ``most_coverage`` of an item; adds ``removed`` (characters).
 
     A text without such a passage stays as it is, null included; overlapping passages are cut once.
     """
     spans = (
-        found.where((F.col("span") >= least_words) | (F.col("coverage") >= most_coverage))
+        found.where((F.col("span") >= 0.9 * least_words) | (F.col("coverage") >= most_coverage))
         .groupBy("doc_id")
         .agg(F.array_sort(F.collect_set(F.struct("begin", "end"))).alias("_cuts"))
         .withColumnRenamed("doc_id", "_doc")

@@ -100,6 +100,14 @@ def test_scrub(spark):
     assert {r.doc_id: (r.text, r.removed) for r in leakage.scrub(docs, found).collect()} == {1: ("Before.  After.", len(ITEM)), 2: ("clean", 0), 3: (None, 0)}
 
 
+def test_scrub_cuts_what_leaks_reports(spark):
+    part = " ".join(ITEM.split()[4:22])
+    docs = spark.createDataFrame([(1, f"Before xx {part} xx after.")], "doc_id long, text string")
+    found = leakage.leaks(docs, spark.createDataFrame([(1, ITEM)], "item_id long, text string"))
+    assert [r.span for r in found.collect()] == [18]
+    assert [(r.text, r.removed) for r in leakage.scrub(docs, found).collect()] == [("Before xx  xx after.", len(part))]
+
+
 def test_automaton_finds_all_shared_runs():
     rng = random.Random(4)
     items = [(k, rng.choices("abcd", k=30)) for k in range(5)]
