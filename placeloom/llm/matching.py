@@ -201,7 +201,8 @@ def match(left: DataFrame, right: DataFrame, id: str = "id", name: str = "name",
         raise ValueError("too many towns")
     a, b = (cut_table(plain(df, id, name, postcode, website)) for df in (left, right))
     often = a.where("host <> ''").groupBy("host").agg(F.count("*").alias("n")).where(F.col("n") > SHARED_POSTCODES).select("host")
-    hosts = a.join(often, "host", "left_semi").groupBy("host").agg(F.approx_count_distinct(F.when(F.col("code") != "", F.col("code"))).alias("codes"), F.approx_count_distinct("words").alias("names"), F.count("*").alias("n")).where(F.col("codes") > SHARED_POSTCODES)
+    # Counted exactly, over distinct values first, so that a hot host is folded; repeated records count once.
+    hosts = a.join(often, "host", "left_semi").groupBy("host").agg(F.count_distinct(F.when(F.col("code") != "", F.col("code"))).alias("codes"), F.count_distinct("words").alias("names"), F.count_distinct("id").alias("n")).where(F.col("codes") > SHARED_POSTCODES)
     hosts = cut(hosts.select("host", F.lit(True).alias("shared"), (F.col("names") > PLATFORM_NAMES * F.col("n")).alias("platform")))
     crowd = a.select("code").unionByName(b.select("code")).where("code <> ''").groupBy("code").agg(F.count("*").alias("n")).where(F.col("n") > BUSY_CODE)
     codes = cut(crowd.select("code", F.lit(True).alias("busy")))

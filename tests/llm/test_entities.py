@@ -203,6 +203,14 @@ def test_busy_postcode_loses_no_name_that_agrees(spark):
     assert once <= _match(spark, left, right)
 
 
+def test_platform_is_told_by_records_not_by_rows(spark):
+    # Four of seven records have a name of their own; three times delivered, they have it still.
+    names_ = ["Sumtojuspo Motel", "Wimhalca Books", "Lanfotgy Yarns", "Pellworth Bakes", "Pellworth Bakes", "Pellworth Bakes", "Pellworth Bakes"]
+    left = [(f"o{k}", n, f"QA{k + 10} 1AA", f"hosted.example/p/{k}0000") for k, n in enumerate(names_)]
+    right = [("s0", None, None, "hosted.example/p/00000")]
+    assert _match(spark, left, right) == set() == _match(spark, left * 3, right)
+
+
 def test_twins_share_their_probability(spark):
     left = [("o1", "Pellworth Bakes", "QN1 1AA", None), ("o2", "Pellworth Bakes", "QN1 1AA", None)]
     assert _match(spark, left, [("s", "Pellworth Bakes", "QN1 1AA", None)]) == set()
