@@ -2,32 +2,32 @@
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from placeloom.operators.components import components
-from placeloom.plans.cut import cut
+from placeloom.plans.cut import cut, cut_table, spread
 
 # Forms of address and law, and joining words, that don't tell names apart.
 IDLE = set("ltd limited plc llp oy oyj ab uk gb inc co company the of by and ja och et mr mrs ms miss mx dr sir esq sole trader owner prop ta partnership partners lp".split())
 # Words that firms add and leave out.
 SOFT = set("group services supplies brothers associates international sons holdings trading cafe".split())
-# Shortened words.
+# Usual shortenings of business words; others are told by their letters (short_for).
 SHORT = {
-    "grp": "group", "svcs": "services", "serv": "services", "svc": "services", "suppl": "supplies", "supp": "supplies", "bros": "brothers", "bro": "brothers",
-    "assocs": "associates", "intl": "international", "int": "international", "photog": "photography", "pharm": "pharmacy", "vet": "veterinary", "vets": "veterinary",
-    "accts": "accountancy", "acctcy": "accountancy", "acct": "accountancy", "ctrg": "catering", "cater": "catering", "stnry": "stationery", "soc": "society",
-    "comm": "community", "allot": "allotment", "kit": "kitchens", "kitch": "kitchens", "assn": "association", "ass": "association", "chor": "choral", "gym": "gymnastics", "opt": "optician",
-    "htl": "hotel", "ctr": "centre", "clin": "clinic", "pract": "practice", "bky": "bakery", "hse": "house", "rest": "restaurant", "rav": "ravintola", "lib": "library", "gdn": "garden",
+    "grp": "group", "svcs": "services", "serv": "services", "svc": "services", "bros": "brothers", "bro": "brothers", "assocs": "associates", "intl": "international", "int": "international",
+    "suppl": "supplies", "supp": "supplies", "photog": "photography", "pharm": "pharmacy", "ctrg": "catering", "cater": "catering", "stnry": "stationery",
+    "vet": "veterinary", "vets": "veterinary", "acct": "accountancy", "accts": "accountancy", "soc": "society", "comm": "community", "assn": "association", "htl": "hotel", "ctr": "centre",
+    "hse": "house", "rest": "restaurant", "rav": "ravintola", "lib": "library", "gdn": "garden",
 }
-# Initials of clubs.
-INITIALS = {"rc": ["rowing", "club"], "bc": ["bowls", "club"], "cs": ["choral", "society"], "as": ["allotment", "society"], "ca": ["community", "association"], "cc": ["cricket", "club"], "fc": ["football", "club"]}
 # Nicknames and the names they stand for.
 NICK = {
     "joe": "joseph", "joey": "joseph", "will": "william", "bill": "william", "billy": "william", "nick": "nicholas", "nicky": "nicholas", "veke": "veikko", "ulla": "ursula", "ursel": "ursula",
@@ -38,13 +38,25 @@ NICK = {
     "deb": "deborah", "debbie": "deborah", "debs": "deborah", "nell": "hannele",
 }
 GIVEN = set(NICK.values())
+#: A gram that one form in so many has, or fewer, weighs most.
+RAREST = 1000.0
+
+
+@lru_cache(maxsize=500_000)
+def _signs(word: str) -> int:
+    """The signs of a word as bits."""
+    bits = 0
+    for c in word:
+        bits |= 1 << ord(c) % 61
+    return bits
 
 
 def near(a: str, b: str, most: int) -> int:
     """Edits between ``a`` and ``b``, a transposition of neighbours being one; ``most + 1`` if there are more."""
     if a == b:
         return 0
-    if abs(len(a) - len(b)) > most:
+    # An edit changes two signs at most.
+    if abs(len(a) - len(b)) > most or (_signs(a) ^ _signs(b)).bit_count() > 2 * most:
         return most + 1
     i, n = 0, min(len(a), len(b))
     while i < n and a[i] == b[i]:
@@ -79,9 +91,8 @@ def words_of(name: str) -> tuple[str, ...]:
     for w in re.findall(r"[^\W_]+", s):
         w = SHORT.get(w, w)
         w = NICK.get(w, w)
-        if w in IDLE:
-            continue
-        out.extend(INITIALS.get(w, [w]))
+        if w not in IDLE:
+            out.append(w)
     # "Assoc." is an association of a community, else associates.
     out = [("association" if "community" in out else "associates") if w == "assoc" else w for w in out]
     return tuple(sorted(out)) or tuple(sorted(re.findall(r"[^\W_]+", s)))
@@ -102,11 +113,32 @@ def _given(w: str) -> bool:
     return any(near(w, g, 1) <= 1 for g in GIVEN)
 
 
+def short_for(w: str, v: str) -> bool:
+    """Whether ``w`` can be ``v`` shortened: three letters or more of it in their order, the first among them."""
+    if not 3 <= len(w) < len(v) or w[0] != v[0]:
+        return False
+    letters = iter(v)
+    return all(c in letters for c in w)
+
+
+def _letters(w: str, words: list[str]) -> list[str] | None:
+    """Words, one for each letter of ``w``, whose first letters these are (in any order); None if there are none."""
+    left, out = list(words), []
+    for c in w:
+        v = next((v for v in left if len(v) > 2 and v[0] == c), None)
+        if v is None:
+            return None
+        left.remove(v)
+        out.append(v)
+    return out
+
+
 def same_name(a: tuple[str, ...], b: tuple[str, ...]) -> bool:
     """Whether two names (see :func:`words_of`) can be of one entity.
 
-    Every telling word must have a partner: equal, mistyped by up to two letters, or an initial of it. Only soft words
-    and middle initials may stand alone; at least one word of four letters or more must be equal but for typing.
+    Every telling word must have a partner: equal, mistyped by up to two letters, shortened, an initial of it, or the
+    initials of several. Only soft words and middle initials may stand alone; at least one word of four letters or
+    more must be equal but for typing.
     """
     if a == b:
         return True
@@ -119,8 +151,9 @@ def same_name(a: tuple[str, ...], b: tuple[str, ...]) -> bool:
             firm += len(w) > 3 and w not in SOFT and w not in GIVEN
     for w in sorted(left, key=len, reverse=True):
         if len(w) > 1:
-            best = min(((near(w, v, _slack(w)), v) for v in right if len(v) > 1), default=(9, ""))
-            if best[0] <= _slack(w):
+            slack = _slack(w)
+            best = min(((n, v) for v in right if len(v) > 1 and (n := near(w, v, slack)) <= slack), default=None)
+            if best:
                 left.remove(w)
                 right.remove(best[1])
                 firm += len(w) > 3 and w not in SOFT and w not in GIVEN
@@ -130,6 +163,16 @@ def same_name(a: tuple[str, ...], b: tuple[str, ...]) -> bool:
             if full:
                 these.remove(w)
                 those.remove(full)
+    # Shortened words, and initials of two to four words.
+    for these, those in ((left, right), (right, left)):
+        for w in [w for w in these if 2 <= len(w) <= 8]:
+            if full := next((v for v in those if short_for(w, v)), None):
+                these.remove(w)
+                those.remove(full)
+            elif len(w) <= 4 and (every := _letters(w, those)):
+                these.remove(w)
+                for v in every:
+                    those.remove(v)
     # A missing blank: one word is two of the other name's.
     for these, those in ((left, right), (right, left)):
         for w in [w for w in these if len(w) > 8]:
@@ -162,82 +205,147 @@ def plain_names(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.mapInArrow(read, df.schema)
 
 
-def _weighed(forms: DataFrame, gram: int, power: float, floor: int) -> DataFrame:
-    """(gram, form_id, df, w, all, upto, n): weight of each gram of each form, their sum of squares, the same up to this gram from the commonest on, and the number of forms."""
-    word = lambda w: F.concat(F.lit("^"), w, F.lit("$"))
-    cuts = lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.length(w) - gram + 1, F.lit(1))), lambda i: F.substr(w, i, F.lit(gram)))
-    long = F.filter(F.split("form", " "), lambda w: F.length(w) > 2)
-    grams = forms.select("form_id", F.explode(F.array_distinct(F.flatten(F.transform(long, lambda w: cuts(word(w)))))).alias("gram"))
-    n = forms.count()
-    df = grams.groupBy("gram").agg(F.count("*").alias("df"))
-    weighed = grams.join(df, "gram").withColumn("w", F.pow(F.log(1 + F.lit(float(n)) / F.greatest("df", F.lit(floor))), F.lit(power)))
-    mine = Window.partitionBy("form_id")
-    sums = weighed.withColumn("all", F.sum(F.col("w") * F.col("w")).over(mine)).withColumn("upto", F.sum(F.col("w") * F.col("w")).over(mine.orderBy(F.desc("df"), "gram").rowsBetween(Window.unboundedPreceding, 0)))
-    return sums.withColumn("n", F.lit(float(n)))
+def grams_of(form: str, gram: int) -> list[list[str]]:
+    """The different n-grams of each word of three letters or more of a form, its ends marked."""
+    words = [f"^{w}$" for w in form.split(" ") if len(w) > 2]
+    return [list(dict.fromkeys(w[i : i + gram] for i in range(max(len(w) - gram + 1, 1)))) for w in words]
 
 
-def similar(forms: DataFrame, least: float = 0.25, gram: int = 4, power: float = 3.0, floor: int = 5, top: int | None = None) -> DataFrame:
-    """Pairs (a, b, sim), a < b, of ``forms`` (form_id, form) whose n-gram vectors have a cosine of ``least``.
+def weighed(form: str, df: dict[str, int], n: float, gram: int) -> dict[str, float]:
+    """The vector of a form, of length 1: its grams, in order, with their weights; ``df`` of ``n`` forms have a gram.
 
-    Vectors hold the character n-grams of the words with weights log(1 + N / max(df, floor)) ** power over all forms.
-    Each vector keeps its rarest grams and drops the commonest as long as those have less than ``least`` of its
-    length; pairs whose whole vectors reach ``least`` share a kept gram. The cosine is taken of the kept vectors only, so
-    it is lower than that of the whole ones and pairs near ``least`` are left out; :func:`alike` takes the whole ones. ``top`` keeps the best partners of each form only; None keeps all.
+    All grams of a word weigh alike, log(1 + n / df) squared of the word's middle ``df``, at most that of one form in
+    ``RAREST``. So a typing error in a common word, or in a name of which many spellings are there, does not outweigh
+    the letters that are right, and weights go by the share of the forms, not by their number.
     """
-    sums = _weighed(forms, gram, power, floor)
-    kept = cut(sums.where(F.col("upto") >= least * least * F.col("all")).select("gram", "form_id", (F.col("w") / F.sqrt("all")).alias("w")))
-    left, right = kept.toDF("gram", "a", "wa"), kept.toDF("gram", "b", "wb")
-    pairs = left.join(right, "gram").where("a < b").groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("sim")).where(F.col("sim") >= least)
-    return pairs if top is None else _best(pairs, top)
+    out: dict[str, float] = {}
+    for grams in grams_of(form, gram):
+        middle = sorted((df[g] for g in grams), reverse=True)[len(grams) // 2]
+        w = math.log(1 + min(n / middle, RAREST)) ** 2
+        for g in grams:
+            out[g] = max(w, out.get(g, 0.0))
+    length = math.sqrt(sum(w * w for w in out.values()))
+    return {g: out[g] / length for g in sorted(out)}
+
+
+def counted(forms: DataFrame, gram: int) -> DataFrame:
+    """(form_id, form, v): the grams of each form with the number of forms that have them, (gram, df)."""
+    word = lambda w: F.concat(F.lit("^"), w, F.lit("$"))
+    cuts = lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.length(w) - gram + 1, F.lit(1))), lambda i: F.substr(w, i, F.lit(gram)))
+    long = F.filter(F.split("form", " "), lambda w: F.length(w) > 2)
+    grams = spread(forms).select("form_id", F.explode(F.array_distinct(F.flatten(F.transform(long, lambda w: cuts(word(w)))))).alias("gram"))
+    df = grams.groupBy("gram").agg(F.count("*").alias("df"))
+    return grams.join(df, "gram").groupBy("form_id").agg(F.collect_list(F.struct("gram", "df")).alias("v")).join(forms, "form_id")
 
 
-def grams_of(form: str, gram: int) -> list[str]:
-    """The different n-grams of a form, those of its words of three letters or more with their ends marked, in order."""
-    words = [f"^{w}$" for w in form.split(" ") if len(w) > 2]
-    return sorted({w[i : i + gram] for w in words for i in range(max(len(w) - gram + 1, 1))})
+@lru_cache(maxsize=200_000)
+def _stable(*parts: object) -> int:
+    return zlib.crc32("|".join(map(str, parts)).encode())
 
 
-def alike(forms: DataFrame, least: float = 0.25, gram: int = 4, power: float = 3.0, floor: int = 50, top: int | None = None) -> DataFrame:
-    """Pairs (a, b, sim), a < b, of ``forms`` (form_id, form) that can be of one entity (:func:`same_name`) and whose whole n-gram vectors have a cosine of ``least``.
+def alike(forms: DataFrame, least: float = 0.25, gram: int = 4, top: int | None = None, held: int = 200_000, list_: int = 500) -> DataFrame:
+    """Pairs (a, b, sim), a < b, of ``forms`` (form_id, form) that can be of one entity (:func:`same_name`) and whose n-gram vectors (:func:`weighed`) have a cosine of ``least``.
 
-    Candidates share a kept gram of the steep vectors of :func:`similar`, so no pair that reaches ``least`` by those is
-    missed; the cosine is taken of whole vectors with weights log(1 + N / max(df, floor)). Up to ``floor`` forms, a
-    gram weighs the same however many have it, so that an entity's own grams don't vanish beside its typing errors.
-    The forms of a gram are compared where they lie, and each pair at the first gram that both have kept, so pairs are
-    never shuffled. ``top`` keeps the best partners of each form only; None keeps all.
+    A sparse similarity join: each vector keeps its rarest grams and drops the commonest as long as those have less
+    than ``least`` of its length. The order of grams is the same for all, so pairs that reach ``least`` share a kept
+    gram and none is missed. Kept grams are dealt to lots of about ``held`` entries; a form goes once to each lot in
+    which it has grams, and the forms of a gram are compared there by a matrix product of their whole vectors. A gram
+    of more than ``list_`` forms is split into pieces of which each two meet in a lot of their own, so no task grows
+    with it. A pair comes out at the first gram that both have kept, so pairs are never shuffled. ``top`` keeps the
+    best partners of each form only; None keeps all.
     """
-    weighed = _weighed(forms, gram, power, floor).withColumn("flat", F.log(1 + F.col("n") / F.greatest("df", F.lit(floor))))
-    # Weights in the order of the grams, negative for those that are not kept.
-    signed = F.when(F.col("upto") >= least * least * F.col("all"), F.col("flat")).otherwise(-F.col("flat"))
-    whole = weighed.groupBy("form_id").agg(F.array_sort(F.collect_list(F.struct("gram", signed.alias("w")))).alias("v")).join(forms, "form_id")
-    rows = whole.select("form_id", "form", F.transform("v", lambda x: x["w"].cast("float")).alias("w"), F.explode(F.filter("v", lambda x: x["w"] > 0)["gram"]).alias("gram"))
+    whole = cut_table(counted(forms, gram))
+    total = float(forms.count())
+    entries = whole.agg(F.sum(F.size("v"))).first()[0] or 0
+    parts = int(forms.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lots = max(parts, -(-entries // held))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[list] = [[] for _ in range(5)]
+            for me, form, v in zip(*(b.column(c).to_pylist() for c in ("form_id", "form", "v")), strict=True):
+                df = {x["gram"]: x["df"] for x in v}
+                vector = weighed(form, df, total, gram)
+                upto, lists = 0.0, {}
+                for g in sorted(vector, key=lambda g: (-df[g], g)):
+                    upto += vector[g] ** 2
+                    if upto < least * least:
+                        vector[g] = -vector[g]
+                    elif df[g] > 1:
+                        pieces = -(-df[g] // list_)
+                        mine = _stable(me) % pieces if pieces > 1 else 0
+                        for other in range(pieces):
+                            low, high = min(mine, other), max(mine, other)
+                            lists.setdefault(_stable(g, low, high) % lots, []).append(f"{g}\t{low}\t{high}\t{mine}")
+                w = list(vector.values())
+                for lot, names in lists.items():
+                    for column, value in zip(out, (lot, me, form, w, names), strict=True):
+                        column.append(value)
+            kinds = (pa.int32(), pa.int64(), pa.string(), pa.list_(pa.float32()), pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], ["lot", "form_id", "form", "w", "lists"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, tuple[str, ...], dict[str, float], set[str]]] = []
+        rows: list[tuple] = []
         last = None
         for b in batches:
-            out: list[tuple[int, int, float]] = []
-            for at, me, form, w in zip(*(b.column(c).to_pylist() for c in ("gram", "form_id", "form", "w")), strict=True):
-                if at != last:
-                    held, last = [], at
-                length = sum(x * x for x in w) ** 0.5
-                mine = dict(zip(grams_of(form, gram), w, strict=True))
-                kept = {g for g, x in mine.items() if x > 0}
-                mine = {g: abs(x) / length for g, x in mine.items()}
-                words = tuple(form.split(" "))
-                for other, theirs, vector, has in held:
-                    if min(kept & has) == at:
-                        sim = sum(mine[g] * vector[g] for g in mine.keys() & vector.keys())
-                        if sim >= least and same_name(words, theirs):
-                            out.append((other, me, sim) if other < me else (me, other, sim))
-                held.append((me, words, mine, kept))
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.float64()))], ["a", "b", "sim"])
-
-    parts = int(forms.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = rows.repartition(parts, "gram").sortWithinPartitions("gram", "form_id").mapInArrow(meet, "a long, b long, sim double")
+            for lot, *row in zip(*(b.column(c).to_pylist() for c in ("lot", "form_id", "form", "w", "lists")), strict=True):
+                if lot != last and rows:
+                    yield _met(rows, gram, least)
+                    rows = []
+                last = lot
+                rows.append(tuple(row))
+        if rows:
+            yield _met(rows, gram, least)
+
+    dealt = spread(whole).select("form_id", "form", "v").mapInArrow(deal, "lot int, form_id long, form string, w array<float>, lists array<string>")
+    pairs = dealt.repartitionById(parts, F.col("lot") % parts).sortWithinPartitions("lot").mapInArrow(meet, "a long, b long, sim double")
     return pairs if top is None else _best(pairs, top)
 
 
+def _met(rows: list[tuple], gram: int, least: float) -> pa.RecordBatch:
+    """Pairs of a lot: ``rows`` are (form_id, form, weights in the order of the grams, less than 0 where not kept, names of its lists here)."""
+    own = [sorted({g for grams in grams_of(form, gram) for g in grams}) for _, form, _, _ in rows]
+    number = {g: k for k, g in enumerate(sorted({g for grams in own for g in grams}))}
+    columns = [np.array([number[g] for g in grams], np.int64) for grams in own]
+    weights = [np.array(w, np.float32) for _, _, w, _ in rows]
+    texts = [tuple(form.split(" ")) for _, form, _, _ in rows]
+    lists: dict[str, list[tuple[int, str]]] = {}
+    for k, (_, _, _, names) in enumerate(rows):
+        for name in names:
+            at, _, mine = name.rpartition("\t")
+            lists.setdefault(at, []).append((k, mine))
+    out: list[tuple[int, int, float]] = []
+    for at, members in lists.items():
+        if len(members) < 2:
+            continue
+        g, low, high = at.split("\t")
+        ks = [k for k, _ in members]
+        flat = np.concatenate([columns[k] for k in ks])
+        seen, place, times = np.unique(flat, return_inverse=True, return_counts=True)
+        # A gram of one form adds nothing to any product.
+        shared = np.cumsum(times > 1) - 1
+        told = times[place] > 1
+        cells = np.repeat(np.arange(len(ks)), [len(columns[k]) for k in ks])[told], shared[place[told]]
+        values = np.concatenate([weights[k] for k in ks])[told]
+        matrix = np.zeros((len(ks), int(shared[-1]) + 1), np.float32)
+        matrix[cells] = np.abs(values)
+        sims = matrix @ matrix.T
+        hit = sims >= least
+        # Pairs that have kept an earlier gram both come out there.
+        before = int(np.searchsorted(seen[times > 1], number[g]))
+        if before:
+            matrix[cells] = values > 0
+            hit &= matrix[:, :before] @ matrix[:, :before].T < 0.5
+        if low != high:
+            side = np.array([mine == low for _, mine in members])
+            hit &= side[:, None] != side[None, :]
+        for i, j in zip(*np.nonzero(np.triu(hit, 1))):
+            if same_name(texts[ks[i]], texts[ks[j]]):
+                x, y = rows[ks[i]][0], rows[ks[j]][0]
+                out.append((min(x, y), max(x, y), float(sims[i, j])))
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.float64()))], ["a", "b", "sim"])
+
+
 def _best(pairs: DataFrame, top: int) -> DataFrame:
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
     best = both.withColumn("nth", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("sim"), "b"))).where(F.col("nth") <= top)
@@ -329,8 +437,8 @@ def link_names(records: DataFrame, id: str, name: str, other: str | None = None,
     Null, blank and signs-only names have no entity; repeated records count once; an id with several names has a row
     for each. Names of any length are read whole. Empty tables give no rows; other columns are ignored.
     """
-    src = records.where(F.col(id).isNotNull()).select(F.col(id).alias("id"), F.col(name).alias("name"), (F.col(other) if other else F.lit(None)).cast("string").alias("other")).distinct()
-    rows = cut(plain_names(src, ["name", "other"]).where("name is not null"))
+    src = records.where(F.col(id).isNotNull()).select(F.col(id).alias("id"), F.col(name).alias("name"), (F.col(other) if other else F.lit(None)).cast("string").alias("other"))
+    rows = cut(plain_names(spread(src), ["name", "other"]).where("name is not null").distinct())
     forms = cut(rows.select(F.col("name").alias("form")).union(rows.select("other")).where("form is not null").distinct().withColumn("form_id", F.monotonically_increasing_id()))
     links = cut(alike(forms, least, top=top).withColumn("sim", 0.5 + F.col("sim") / 2))
     groups = cut(forms.join(cluster(links, mean), F.col("form_id") == F.col("node"), "left").select("form", F.coalesce("cluster", "form_id").alias("cluster")))
