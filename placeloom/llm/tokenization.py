@@ -9,13 +9,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeloom.plans.cut import cut
+from placeloom.plans.cut import cut, cut_table, spread
 
 _WHITE = r"\t\n\x0B\f\r \x85\xA0  -     　"
 #: The pieces of the vocabulary's splitting rule, written for Java with Unicode white space.
-PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_WHITE}\p{{L}}\p{{N}}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+"
-#: A piece is frequent if it makes up this share of all pieces; so there are at most 1 / FREQUENT of them.
-FREQUENT = 1 / 2000
+PIECES = rf" ?\p{{L}}++|'s|'t|'re|'ve|'m|'ll|'d| ?\p{{N}}++| ?[^{_WHITE}\p{{L}}\p{{N}}]++|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+"
+#: A piece is frequent if it makes up this share of all pieces and has at most LONG letters; so there are at most 1 / FREQUENT of them.
+FREQUENT, LONG = 1 / 100_000, 64
 
 _loaded: dict[str, object] = {}
 
@@ -34,17 +34,18 @@ def _ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-def _coder(path: str):
+def _coder(path: str | None):
+    """The coder of a vocabulary, found where this runs; loaded once in each worker."""
     if path not in _loaded:
         import tiktoken
 
-        _loaded[path] = tiktoken.Encoding("own", pat_str=r"(?s:.+)", mergeable_ranks=_ranks(path), special_tokens={})
+        _loaded[path] = tiktoken.Encoding("own", pat_str=r"(?s:.+)", mergeable_ranks=_ranks(vocabulary(path)), special_tokens={})
     return _loaded[path]
 
 
 def pieces(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, pos, piece) of all non-empty texts. Texts with code points that are unassigned to Java are split in Python."""
-    docs = documents.where(F.col(text).isNotNull() & (F.col(text) != "")).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    """(doc_id, pieces) of all non-empty texts. Texts with code points that are unassigned to Java are split in Python."""
+    docs = spread(documents.where(F.col(text).isNotNull() & (F.col(text) != "")).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -58,10 +59,10 @@ def pieces(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     new = F.col("text").rlike(r"\p{Cn}")
     usual = docs.where(~new).select("doc_id", F.regexp_extract_all("text", F.lit(PIECES), F.lit(0)).alias("pieces"))
     rare = docs.where(new).mapInArrow(split, f"doc_id {kind}, pieces array<string>")
-    return usual.unionByName(rare).select("doc_id", F.posexplode("pieces").alias("pos", "piece"))
+    return usual.unionByName(rare)
 
 
-def _dictionary(words: DataFrame, path: str) -> DataFrame:
+def _dictionary(words: DataFrame, path: str | None) -> DataFrame:
     """(piece, n, ids) of each distinct piece."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,24 +77,54 @@ def _dictionary(words: DataFrame, path: str) -> DataFrame:
 def encode(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """Token ids of every text: (doc_id, ids array<int>), without special tokens.
 
-    Texts are split into pieces with their positions; each distinct piece is encoded once; the ids are joined back
-    and put together by position. Frequent pieces (at most 2,000 by their definition) are joined by broadcast, so
-    that no hot piece is shuffled; the others by a shuffle. ``doc_id`` must be unique.
+    Texts are split into pieces once, in order, which are kept in a table; each distinct piece is encoded once. The ids
+    of frequent pieces (at most 100,000 by their definition) are put in where the pieces lie, from a broadcast; only
+    the other pieces are shuffled, with their positions, joined with their ids and put in at their places. Documents are
+    told by a number of their own, so equal ``doc_id`` values don't mix.
 
     A null text gives null, an empty text an empty list, blank texts the ids of their blanks. Markers that look like
     special tokens are ordinary text. Whole texts are encoded; an empty table gives no rows; other columns are ignored.
     """
-    path = vocabulary(path)
-    words = pieces(documents, doc_id, text)
-    known = cut(_dictionary(words, path))
+    split = cut_table(pieces(documents, doc_id, text).withColumn("row", F.monotonically_increasing_id()))
+    known = cut(_dictionary(split.select(F.explode("pieces").alias("piece")), path))
     total = known.agg(F.sum("n")).first()[0] or 0
-    hot = (F.col("n") >= max(2.0, total * FREQUENT)) & (F.length("piece") <= 64)
-    often = F.broadcast(known.where(hot).select("piece", "ids"))
-    seldom = known.where(~hot).select("piece", "ids")
-    coded = words.join(often, "piece").unionByName(words.join(often, "piece", "left_anti").join(seldom, "piece")).select("doc_id", "pos", "ids")
-    whole = coded.groupBy("doc_id").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("pos", "ids"))), lambda x: x["ids"])).alias("ids"))
+    hot = (F.col("n") >= max(2.0, total * FREQUENT)) & (F.length("piece") <= LONG)
+    often = {r["piece"]: r["ids"] for r in known.where(hot).select("piece", "ids").toLocalIterator()}
+    held = documents.sparkSession.sparkContext.broadcast(often)
+    kind = split.schema["doc_id"].dataType.simpleString()
+
+    def put_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Ids with -1 in the place of each piece that isn't frequent, and those pieces."""
+        find = held.value.get
+        for b in batches:
+            ids, holes = [], []
+            for found in b.column("pieces").to_pylist():
+                mine, rest = [], []
+                for p in found:
+                    got = find(p)
+                    if got is None:
+                        mine.append(-1)
+                        rest.append(p)
+                    else:
+                        mine += got
+                ids.append(mine)
+                holes.append(rest)
+            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("doc_id"), pa.array(ids, pa.list_(pa.int32())), pa.array(holes, pa.list_(pa.string()))], ["row", "doc_id", "ids", "holes"])
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for ids, fills in zip(b.column("ids").to_pylist(), b.column("fills").to_pylist(), strict=True):
+                after = iter(fills)
+                out.append([i for x in ids for i in (next(after) if x < 0 else (x,))])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.list_(pa.int32()))], ["doc_id", "ids"])
+
+    begun = cut_table(split.mapInArrow(put_in, f"row long, doc_id {kind}, ids array<int>, holes array<string>"))
+    gaps = begun.select("row", F.posexplode("holes").alias("pos", "piece")).join(known.where(~hot).select("piece", F.col("ids").alias("got")), "piece")
+    fills = gaps.groupBy("row").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "got"))), lambda x: x["got"]).alias("fills"))
+    filled = begun.where(F.size("holes") > 0).select("row", "doc_id", "ids").join(fills, "row").select("doc_id", "ids", "fills").mapInArrow(fill, f"doc_id {kind}, ids array<int>")
     rest = documents.where(F.col(text).isNull() | (F.col(text) == "")).select(F.col(doc_id).alias("doc_id"), F.when(F.col(text).isNotNull(), F.array().cast("array<int>")).alias("ids"))
-    return whole.unionByName(rest)
+    return begun.where(F.size("holes") == 0).select("doc_id", "ids").unionByName(filled).unionByName(rest)
 
 
 def token_bytes(spark: SparkSession, path: str | None = None) -> DataFrame:
