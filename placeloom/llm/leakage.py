@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import re
 import unicodedata
+import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from placeloom.plans.cut import spread
 
@@ -17,7 +22,8 @@ _INVISIBLE = "­​‌‍⁠﻿"
 _SECOND = "\u0080-¿€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
 _WORD = re.compile(rf"(?:Ã[{_SECOND}]|[^\W_]|[{_INVISIBLE}̀-ͯ])+")
 _BROKEN = re.compile(rf"Ã[{_SECOND}]")
-_DROP = dict.fromkeys(map(ord, _INVISIBLE))
+_ACCENT = re.compile(rf"[{_INVISIBLE}\u0300-\u036f]+")
+_LETTERS = re.compile(r"[^\W_]+")
 
 
 def _mend(m: re.Match) -> str:
@@ -29,34 +35,32 @@ def _mend(m: re.Match) -> str:
     return m[0]
 
 
-def _plain(word: str) -> str:
+def _plain(text: str) -> str:
     """Letter case, accents, invisible signs and doubly encoded letters taken away."""
-    word = _BROKEN.sub(_mend, word).translate(_DROP).casefold()
-    return "".join(c for c in unicodedata.normalize("NFKD", word) if not unicodedata.combining(c))
-
-
-def words_of(text: str, known: dict[str, str] | None = None) -> tuple[list[str], list[int], list[int]]:
-    """Normalised words of ``text`` with their first and last position in it. ``known`` keeps normalised words between calls."""
-    known = {} if known is None else known
-    if len(known) > 200_000:
-        known.clear()
-    if "<" in text or "&" in text:
-        text = _TAG.sub(lambda m: " " * len(m[0]), text)
-    out, first, last = [], [], []
-    for m in _WORD.finditer(text):
-        w = m[0]
-        n = known.get(w)
-        if n is None:
-            n = known[w] = _plain(w)
-        if n:
-            out.append(n)
-            first.append(m.start())
-            last.append(m.end())
-    return out, first, last
+    if text.isascii():
+        return text.lower()
+    if "Ã" in text:
+        text = _BROKEN.sub(_mend, text)
+    return _ACCENT.sub("", unicodedata.normalize("NFKD", text.casefold()))
+
+
+def _unmarked(text: str) -> str:
+    return _TAG.sub(lambda m: " " * len(m[0]), text) if "<" in text or "&" in text else text
+
+
+def plain_words(text: str) -> list[str]:
+    """Normalised words of ``text``."""
+    return _LETTERS.findall(_plain(_unmarked(text)))
+
+
+def places_of(text: str) -> tuple[list[int], list[int]]:
+    """First and last position in ``text`` of each of its :func:`plain_words`."""
+    found = [m.span() for m in _WORD.finditer(_unmarked(text)) for _ in _LETTERS.findall(_plain(m[0]))]
+    return [a for a, _ in found], [b for _, b in found]
 
 
 class Automaton:
-    """Generalised suffix automaton of the items' words. ``seeds[s]`` holds every (item, position) at which the last ``seed`` words read occur."""
+    """Generalised suffix automaton of the items' words. ``seeds[s]`` holds every (item, position, whether at most two texts have them) at which the last ``seed`` words read occur."""
 
     def __init__(self, items: list[tuple[object, list[str]]], seed: int, common: list[set[int]] | None = None):
         """``common`` holds, for each item, where the runs of ``seed`` words begin that more than two texts have."""
@@ -87,12 +91,13 @@ class Automaton:
         self.step, self.link, self.size = step, link, size
         # Occurrences gather at the states whose shortest string has at most `seed` words and whose longest has at least as many.
         self.home = [-1] * len(step)
-        self.seeds: dict[int, list[tuple[int, int]]] = {}
+        gathered: dict[int, list[tuple[int, int, bool]]] = {}
         for s in sorted(range(1, len(step)), key=size.__getitem__):
             if size[s] >= seed:
                 up = link[s]
                 h = self.home[s] = s if size[up] < seed else self.home[up]
-                self.seeds.setdefault(h, []).extend(ends[s])
+                gathered.setdefault(h, []).extend((k, p, p - seed + 1 not in self.common[k]) for k, p in ends[s])
+        self.seeds = {h: np.array(found, np.int64).reshape(-1, 3) for h, found in gathered.items()}
 
     @staticmethod
     def _clone(step, link, size, ends, p, w, q) -> int:
@@ -104,23 +109,59 @@ class Automaton:
             p = link[p]
         return new
 
-    def read(self, words: list[str]) -> dict[int, list[tuple[int, int, bool]]]:
-        """Item -> (position in ``words``, position in the item, whether at most two texts have it) of the ends of all shared runs of ``seed`` words."""
-        step, link, size, home, seeds, common, need = self.step, self.link, self.size, self.home, self.seeds, self.common, self.seed
+    def spots(self, words: list[str]) -> list[tuple[int, int]]:
+        """(position in ``words``, state) of the ends of all runs of ``seed`` words that an item shares."""
+        step, link, size, home, need = self.step, self.link, self.size, self.home, self.seed
+        out: list[tuple[int, int]] = []
+        root = step[0]
         s = n = 0
-        hits: dict[int, list[tuple[int, int, bool]]] = {}
         for i, w in enumerate(words):
-            while s and w not in step[s]:
-                s = link[s]
-                n = size[s]
-            s = step[s].get(w, 0)
-            n = n + 1 if s else 0
-            if n >= need:
-                for k, pos in seeds[home[s]]:
-                    hits.setdefault(k, []).append((i, pos, pos - need + 1 not in common[k]))
+            if s:
+                while s and w not in step[s]:
+                    s = link[s]
+                    n = size[s]
+                s = step[s].get(w, 0)
+                n = n + 1 if s else 0
+            else:
+                s = root.get(w, 0)
+                n = 1 if s else 0
+            if s and n >= need:
+                out.append((i, home[s]))
+        return out
+
+    def read(self, words: list[str], gap: int = 1, least: float = 0) -> dict[int, list[tuple[int, int, bool]]]:
+        """Item -> (position in ``words``, position in the item, whether at most two texts have it) of the ends of all shared runs of ``seed`` words.
+
+        Left out are runs that lie with too few others, at most ``gap`` words apart in ``words``, to cover ``least`` words; a chain of ``least`` words has none of them.
+        """
+        spots = self.spots(words)
+        if not spots or self.seed * len(spots) < least:
+            return {}
+        at = np.fromiter((i for i, _ in spots), np.int64, len(spots))
+        found = [self.seeds[state] for _, state in spots] if together(at, np.zeros_like(at), self.seed, gap, least).any() else []
+        if not found:
+            return {}
+        at = np.repeat(at, [len(f) for f in found])
+        item, pos, rare = np.concatenate(found).T
+        order = np.lexsort((pos, at, item))
+        item, at, pos, rare = item[order], at[order], pos[order], rare[order]
+        ok = together(at, item, self.seed, gap, least)
+        hits: dict[int, list[tuple[int, int, bool]]] = {}
+        for k, *hit in zip(*(x[ok].tolist() for x in (item, at, pos, rare))):
+            hits.setdefault(k, []).append(tuple(hit))
         return hits
 
 
+def together(at: np.ndarray, item: np.ndarray, seed: int, gap: int, least: float) -> np.ndarray:
+    """Which ends ``at`` of runs of ``seed`` words, in order within an ``item``, lie among others at most ``gap`` words apart that cover ``least`` words with them."""
+    away = np.diff(at, prepend=0)
+    new = np.diff(item, prepend=-1) != 0
+    new |= away > gap + seed
+    new[0] = True
+    group = np.cumsum(new) - 1
+    return np.bincount(group, np.where(new, seed, np.minimum(away, seed)))[group] >= least
+
+
 def chains(hits: list[tuple[int, int, bool]], seed: int, gap: int, least: float = 0) -> Iterator[tuple[int, int, int, int, int, int, list[tuple[int, int]]]]:
     """(matched words, first, last word in the text, first, last word in the item, rare runs, ends of the runs) of the runs that follow each other in both, at most ``gap`` words apart, if ``least`` words match."""
     best: list[tuple[int, int, int, int]] = []  # matched words, first in the text, first in the item, rare runs
@@ -218,7 +259,7 @@ def plain_items(items: DataFrame, lengths: list[int]) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("item_id"), pa.array([words_of(t)[0] for t in b.column("text").to_pylist()], pa.list_(pa.string()))], ["item_id", "words"])
+            yield pa.RecordBatch.from_arrays([b.column("item_id"), pa.array([plain_words(t) for t in b.column("text").to_pylist()], pa.list_(pa.string()))], ["item_id", "words"])
 
     plain = items.mapInArrow(read, f"item_id {kind}, words array<string>").withColumn("text_key", F.sha2(F.array_join("words", " "), 256))
     texts = plain.select("text_key", "words").dropDuplicates(["text_key"])
@@ -269,24 +310,25 @@ def leaks(
     """
     docs = spread(documents.where(F.col(text).isNotNull() & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))).withColumn("doc_key", F.xxhash64("text"))
     known = items.where(F.col(item_id).isNotNull() & F.col(item_text).isNotNull()).select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text"))
-    kinds = docs.schema["doc_id"].dataType.simpleString(), known.schema["item_id"].dataType.simpleString()
+    item_type = known.schema["item_id"].dataType
+    kinds = docs.schema["doc_id"].dataType.simpleString(), item_type.simpleString()
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, matched int, span int, coverage double, begin int, end int, doc_key long, text_key string, close boolean, at array<int>"
     changes = int(least_words * most_changed + 0.5)
 
     def against(block: list[tuple[object, list[str], str, list[set[int]]]]) -> DataFrame:
-        tree = Automaton([(name, words) for name, words, _, _ in block], seed, [common[0] for *_, common in block])
-        held = documents.sparkSession.sparkContext.broadcast((tree, [(words, key, common[1]) for _, words, key, common in block]))
+        held = documents.sparkSession.sparkContext.broadcast(block)
+        name = uuid.uuid4().hex
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            tree, told = held.value
-            seen: dict[str, str] = {}
+            tree, told = _tree(name, held, seed)
             for b in batches:
                 out: list[list] = [[] for _ in range(11)]
-                for d, t, dk in zip(b.column("doc_id").to_pylist(), b.column("text"), b.column("doc_key").to_pylist(), strict=True):
-                    words, first, last = words_of(t.as_py(), seen)
+                for d, t, dk in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), b.column("doc_key").to_pylist(), strict=True):
+                    words = plain_words(t)
                     if len(words) < least_words * least_share:
                         continue
-                    for k, hits in tree.read(words).items():
+                    first = last = None
+                    for k, hits in tree.read(words, gap, 0.6 * least_words).items():
                         if len(hits) < least_words * least_share * 0.4:
                             continue
                         item, key, stock = told[k]
@@ -302,6 +344,8 @@ def leaks(
                                 if own := passage(kept, extra, len(item), least_words, most_changed, stock):
                                     at = sorted(kept[q] for q in own)
                                     got.append((len(own), at[0], at[-1], own[0], own[-1], True, at))
+                        if got and first is None:
+                            first, last = places_of(t)
                         taken: list[tuple[int, int]] = []
                         for n, i, j, p, q, close, at in sorted(got, key=lambda c: (-c[0], c[1], c[3])):
                             if all(j < o or i > u for o, u in taken):
@@ -309,7 +353,7 @@ def leaks(
                                 row = (d, tree.names[k], n, q - p + 1, (q - p + 1) / len(item), first[i], last[j], dk, key, close, at)
                                 for column, v in zip(out, row, strict=True):
                                     column.append(v)
-                types = [*_types(b, kinds[1]), pa.int64(), pa.string(), pa.bool_(), pa.list_(pa.int32())]
+                types = [*_types(b, item_type), pa.int64(), pa.string(), pa.bool_(), pa.list_(pa.int32())]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], [f.split(" ")[0] for f in schema.split(", ")])
 
         return docs.mapInArrow(scan, schema)
@@ -325,6 +369,18 @@ def leaks(
     return _own(found)
 
 
+_trees: dict[str, tuple] = {}
+
+
+def _tree(name: str, held: Broadcast, seed: int) -> tuple[Automaton, list[tuple[list[str], str, set[int]]]]:
+    """The automaton of a block of items, built where it is used, and (words, text_key, stock) of each item; a worker holds one at a time."""
+    if name not in _trees:
+        _trees.clear()
+        block = held.value
+        _trees[name] = Automaton([(item, words) for item, words, _, _ in block], seed, [common[0] for *_, common in block]), [(words, key, common[1]) for _, words, key, common in block]
+    return _trees[name]
+
+
 def _own(found: DataFrame) -> DataFrame:
     """``found`` without the close wordings of whose place in the text another item's passage has more words."""
     names = ["item_id", "matched", "span", "coverage", "begin", "end"]
@@ -334,9 +390,8 @@ def _own(found: DataFrame) -> DataFrame:
     return left.select("doc_id", *(F.col(f"one.{n}").alias(n) for n in names))
 
 
-def _types(batch: pa.RecordBatch, item_kind: str) -> list[pa.DataType]:
-    kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
-    return [batch.schema.field("doc_id").type, kinds[item_kind], pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.int32()]
+def _types(batch: pa.RecordBatch, item_type: DataType) -> list[pa.DataType]:
+    return [batch.schema.field("doc_id").type, to_arrow_type(item_type), pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.int32()]
 
 
 def scrub(documents: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text", least_words: int = 20, most_coverage: float = 1.0) -> DataFrame:
