@@ -11,8 +11,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from placeloom.llm.names import near
 from placeloom.operators.components import components
-from placeloom.plans.cut import cut, small
+from placeloom.plans.cut import cut, small, spread
 
 # Kinds of street and how they are shortened.
 STREET_KINDS = {
@@ -55,27 +56,6 @@ def folded(s: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFKD", s.casefold()) if not unicodedata.combining(c))
 
 
-def near(a: str, b: str, most: int) -> int:
-    """Edits between ``a`` and ``b``, a transposition of neighbours being one; ``most + 1`` if there are more than ``most``."""
-    if a == b:
-        return 0
-    if abs(len(a) - len(b)) > most:
-        return most + 1
-    before: list[int] = []
-    last = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        row = [i]
-        for j, y in enumerate(b, 1):
-            d = min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (x != y))
-            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                d = min(d, before[j - 2] + 1)
-            row.append(d)
-        if min(row) > most:
-            return most + 1
-        before, last = last, row
-    return min(last[-1], most + 1)
-
-
 def parse(address: str, postcode: str | None) -> dict | None:
     """Parts of an address: number (with its range and letter), unit, street, kind, postcode and leftover words; None if it names no place."""
     s = folded(address)
@@ -175,27 +155,24 @@ def _agree_code(a: str, b: str) -> int | None:
 
 def same_place(a: tuple, b: tuple) -> bool:
     """Whether two forms (see COLUMNS) denote one location. Number, letter and unit must be equal; towns, streets and postcodes may be mistyped."""
-    if a[0] != b[0] or a[1] != b[1]:
+    if a[0] != b[0] or a[1] != b[1] or (a[2] and b[2] and a[2] != b[2]) or (a[4] and b[4] and a[4] != b[4]):
+        return False
+    edits = near(a[3], b[3], 2)
+    if edits > 2:
         return False
     code = _agree_code(a[5], b[5])
     if code is not None and code > 2:
         return False
-    if a[2] and b[2]:
-        if a[2] != b[2]:
-            return False
-    else:
+    if not (a[2] and b[2]):
         town, words = (a[2], b[6]) if a[2] else (b[2], a[6])
         told = bool(town) and any(near(w, town, 2) <= 2 for w in words.split() if len(w) > 4)
         if not told and code != 0:
             return False
-    if a[4] and b[4]:
-        if a[4] != b[4]:
-            return False
-    elif code is None or code > 1:
+    if not (a[4] and b[4]) and (code is None or code > 1):
         # Without a kind only the postcode tells a street from others of its name.
-        return a[4] == b[4] and a[3] == b[3]
-    most = 2 if code is not None and code <= 1 and min(len(a[3]), len(b[3])) >= 6 else 1 if min(len(a[3]), len(b[3])) >= 5 else 0
-    return near(a[3], b[3], most) <= most
+        return a[4] == b[4] and edits == 0
+    short = min(len(a[3]), len(b[3]))
+    return edits <= (2 if code is not None and code <= 1 and short >= 6 else 1 if short >= 5 else 0)
 
 
 def forms(records: DataFrame, id: str, address: str, postcode: str, area: str | None) -> DataFrame:
@@ -221,13 +198,13 @@ def forms(records: DataFrame, id: str, address: str, postcode: str, area: str |
             rows = pa.array(keep, pa.int64())
             yield pa.RecordBatch.from_arrays([b.column("id").take(rows), b.column("town").take(rows), *(pa.array(c, pa.string()) for c in out)], ["id", "town", "number", "unit", "name", "kind", "code", "words"])
 
-    got = src.mapInArrow(read, f"id {kind}, town string, number string, unit string, name string, kind string, code string, words string")
+    got = spread(src).mapInArrow(read, f"id {kind}, town string, number string, unit string, name string, kind string, code string, words string")
     # The first two signs of a postcode tell the town; which one is learnt from the records that have both.
     got = cut(got)
     start = F.when(F.length("code") >= 3, F.substring("code", 1, 2))
     told = got.where("town <> ''").groupBy(start.alias("start"), "town").agg(F.count("*").alias("n")).where("start is not null")
-    towns = told.groupBy("start").agg(F.max_by("town", F.struct("n", "town")).alias("by_code"), (F.max("n") / F.sum("n")).alias("share")).where("share > 0.8").drop("share")
-    names = got.where("town <> ''").select(F.col("town").alias("by_word")).distinct()
+    towns = told.groupBy("start").agg(F.max_by("town", F.struct("n", "town")).alias("by_code"), (F.max("n") / F.sum("n")).alias("share")).where("share > 0.8").drop("share") if area else cut(_learnt(got.withColumn("start", start)))
+    names = (got.where("town <> ''").select(F.col("town").alias("by_word")) if area else towns.select(F.col("by_code").alias("by_word"))).distinct()
     known = got.withColumn("start", start).join(small(towns), "start", "left").withColumn("town", F.when(F.col("town") == "", F.coalesce("by_code", F.lit(""))).otherwise(F.col("town")))
     lost = known.where("town = ''").withColumn("word", F.explode_outer(F.split("words", " "))).join(small(names), F.col("word") == F.col("by_word"), "left").groupBy("id", "number", "unit", "name", "kind", "code", "words").agg(F.coalesce(F.min("by_word"), F.lit("")).alias("town"))
     whole = known.where("town <> ''").select("id", *COLUMNS).unionByName(lost.select("id", *COLUMNS))
@@ -237,7 +214,30 @@ def forms(records: DataFrame, id: str, address: str, postcode: str, area: str |
     return whole.where("kind <> ''").unionByName(filled.select("id", *COLUMNS)).withColumn("words", F.when(F.col("town") == "", F.col("words")).otherwise(F.lit("")))
 
 
-def _pass(distinct: DataFrame, block: list, sort: Column, window: int, shared: int) -> DataFrame:
+def _learnt(got: DataFrame) -> DataFrame:
+    """(start, by_code): the town of each beginning of a postcode, learnt from the words that addresses have beside the street: the commonest one, if a fifth of the addresses there have it and four in five of those that have it lie there."""
+    known = got.where("start is not null")
+    words = known.select("start", F.explode(F.array_distinct(F.split("words", " "))).alias("word")).where(F.length("word") > 3).groupBy("start", "word").agg(F.count("*").alias("n"))
+    total = words.groupBy("word").agg(F.sum("n").alias("everywhere"))
+    here = known.groupBy("start").agg(F.count("*").alias("rows"))
+    return words.join(total, "word").join(here, "start").where("n >= 0.2 * rows and n >= 0.8 * everywhere").groupBy("start").agg(F.max_by("word", F.struct("n", "word")).alias("by_code"))
+
+
+def _without(word: Column) -> Column:
+    """The word and what is left of it without one or two letters; words two edits apart share one of these."""
+    one = lambda w: F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.concat(F.substr(w, F.lit(1), i - 1), F.substr(w, i + 1)))
+    return F.array_distinct(F.concat(F.array(word), one(word), F.flatten(F.transform(one(word), one))))
+
+
+def _town_told(distinct: DataFrame) -> DataFrame:
+    """Forms without a town, once for each town that one of their words may be, mistyped: (form, near_town)."""
+    lost = distinct.where("town = ''").select("form", F.explode(F.split("words", " ")).alias("word")).where(F.length("word") > 4)
+    spelt = lost.select("word").distinct().select("word", F.explode(_without(F.col("word"))).alias("key"))
+    towns = distinct.where("town <> ''").select(F.col("town").alias("near_town")).distinct().select("near_town", F.explode(_without(F.col("near_town"))).alias("key"))
+    return lost.join(spelt.join(towns, "key").select("word", "near_town").distinct(), "word").select("form", "near_town").distinct()
+
+
+def _pass(rows: DataFrame, block: list, sort: Column, window: int, shared: int) -> DataFrame:
     """Edges (a, b) of one pass. Rows of a block are read in order; each is compared with the ``window`` rows before it and with all before it whose sort key begins alike."""
 
     def slide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,10 +257,11 @@ def _pass(distinct: DataFrame, block: list, sort: Column, window: int, shared: i
                     if same_place(parts, theirs):
                         left.append(form), right.append(other)
                 held.append((start, form, parts))
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.string()), pa.array(right, pa.string())], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
-    rows = distinct.select(F.concat_ws("|", *block).alias("block"), sort.alias("sort"), "form", *COLUMNS)
-    return rows.repartition("block").sortWithinPartitions("block", "sort", "form").mapInArrow(slide, "a string, b string")
+    # Blocks of one hash only add comparisons.
+    keyed = rows.select(F.xxhash64(*block).alias("block"), sort.alias("sort"), "form", *COLUMNS)
+    return keyed.repartition("block").sortWithinPartitions("block", "sort", "form").mapInArrow(slide, "a long, b long")
 
 
 def same_premises(records: DataFrame, id: str = "id", address: str = "address", postcode: str = "postcode", area: str | None = "area_id", window: int = 10, shared: int = 2) -> DataFrame:
@@ -269,24 +270,30 @@ def same_premises(records: DataFrame, id: str = "id", address: str = "address",
     Addresses are taken apart (number with letter or range, unit, street, kind of street, postcode, town) in any
     order of parts; floors, entrances, directions and countries are left out; shortened kinds are written out.
     Equal forms are one from then on. Multi-pass sorted neighbourhoods follow: by town and street, by town and
-    street read backwards, by postcode, and by the street's first and by its last letters; in each pass a form is compared with the
-    ``window`` forms before it in its block and with all before it that begin with the same ``shared`` letters, so
+    street read backwards, and by postcode. Forms whose town isn't known stand in the blocks of all towns that one of
+    their words may be but for typing, and meet others by the beginning of their postcode, in both orders. In each pass
+    a form is compared with the ``window`` forms before it in its block and with all before it that begin with the same ``shared`` letters, so
     that long blocks lose nothing. Two forms match (:func:`same_place`) if number, letter and unit are equal and
     street, postcode and town agree but for mistyped or transposed letters. Matches are closed transitively.
 
     Null, blank and placeholder addresses, addresses without a number or a street, and null ids have no location.
-    Repeated records count once; an id with several addresses has several rows. ``area`` may be None. Empty tables give no rows.
+    Repeated records count once; an id with several addresses has several rows. ``area`` holds the town of a record;
+    with None, towns are learnt from the addresses and postcodes (:func:`_learnt`). Empty tables give no rows.
     """
-    known = forms(records, id, address, postcode, area).withColumn("form", F.concat_ws("|", *COLUMNS))
-    known = cut(known)
+    # A form is named by a hash of its parts.
+    known = cut(forms(records, id, address, postcode, area).withColumn("form", F.xxhash64(*COLUMNS)))
     distinct = known.select("form", *COLUMNS).distinct()
-    strict, place = ["number", "unit"], ["number", "unit", "town"]
+    strict, place = ["number", "unit"], ["number", "unit", "near_town"]
+    lost = cut(_town_told(distinct))
+    stands = distinct.where("town <> ''").withColumn("near_town", F.col("town")).unionByName(distinct.where("town = ''").join(lost, "form"))
+    begins = distinct.where("length(code) >= 3").withColumn("begin", F.substring("code", 1, 3))
+    beside = begins.join(begins.where("town = ''").select(*strict, "begin").distinct(), [*strict, "begin"], "left_semi")
     edges = (
-        _pass(distinct, place, F.col("name"), window, shared)
-        .unionByName(_pass(distinct, place, F.reverse("name"), window, shared))
+        _pass(stands, place, F.col("name"), window, shared)
+        .unionByName(_pass(stands, place, F.reverse("name"), window, shared))
         .unionByName(_pass(distinct.where("length(code) >= 5 and code not like '%*'"), [*strict, "code"], F.col("name"), window, shared))
-        .unionByName(_pass(distinct, [*strict, F.substring("name", 1, 3)], F.concat("name", F.lit(" "), "town"), window, 4))
-        .unionByName(_pass(distinct, [*strict, F.reverse(F.substring("name", -3, 3))], F.concat(F.reverse("name"), F.lit(" "), "town"), window, 4))
+        .unionByName(_pass(beside, [*strict, "begin"], F.col("name"), window, shared))
+        .unionByName(_pass(beside, [*strict, "begin"], F.reverse("name"), window, shared))
     )
     found = components(edges)
     return known.select("id", "form").join(found, F.col("form") == F.col("node"), "left").select("id", F.coalesce("component", "form").alias("location"))

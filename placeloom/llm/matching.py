@@ -16,7 +16,7 @@ from placeloom.plans.cut import cut, cut_table, small
 BASE, SUPPORT, OWN, AGAINST = -6.0, 4.0, 9.0, -0.5
 #: A host that stands with more than so many postcodes is shared: by a chain, or, where most of its names differ, on a platform.
 SHARED_POSTCODES, PLATFORM_NAMES = 5, 0.5
-#: A postcode of more records than this is split into finer blocks.
+#: The pairs of a postcode of more records than this are found by finer keys. Both ways find all pairs with two supports.
 BUSY_CODE = 60
 
 _POSTCODE = re.compile(r"[a-z]{1,2}\d{1,2}\d[a-z]{2}|\d{5}")
@@ -98,7 +98,7 @@ def agree_name(a: str, b: str, towns: dict[str, set[str]]) -> bool | None:
 
 
 def candidates(left: DataFrame, right: DataFrame, towns: list[str]) -> DataFrame:
-    """(l, r, prior): log-odds of every pair of classes (see :func:`classes`) that share a blocking key."""
+    """(l, r, prior): log-odds of every pair of classes (see :func:`classes`) that more speaks for than against: two attributes or an own page."""
     # Hashed keys are shorter to shuffle; two keys with one hash only add candidates.
     keyed = lambda df, n: df.select(F.col("class").alias(n), F.explode(_keys()).alias("key")).select(n, F.xxhash64("key").alias("key"))
     met = keyed(left, "l").join(keyed(right, "r"), "key").select("l", "r").distinct()
@@ -111,21 +111,24 @@ def candidates(left: DataFrame, right: DataFrame, towns: list[str]) -> DataFrame
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for lw, lc, lh, lp, shared, platform, rw, rc, rh, rp in zip(*(b.column(c).to_pylist() for c in ("l_words", "l_code", "l_host", "l_page", "l_shared", "l_platform", "r_words", "r_code", "r_host", "r_page")), strict=True):
-                name = agree_name(lw, rw, spelt)
+            left_, right_, out = [], [], []
+            for l, r, lw, lc, lh, lp, shared, platform, rw, rc, rh, rp in zip(*(b.column(c).to_pylist() for c in ("l", "r", "l_words", "l_code", "l_host", "l_page", "l_shared", "l_platform", "r_words", "r_code", "r_host", "r_page")), strict=True):
                 code = lc == rc if lc and rc else None
                 same = lh == rh if lh and rh else None
                 own = bool(same and lp and lp == rp and not platform)
                 branch = bool(same and lp and rp and lp != rp)  # two branches of one chain
                 site = None if platform and same else same and not branch if same is not None else None
+                sited = bool(site) and not shared
+                if not (own or code or sited):
+                    continue  # a name, or a chain's home page, is all that is left
+                name = agree_name(lw, rw, spelt)
                 # A chain's name and its home page tell one thing, not two.
                 named = bool(name or site) if shared and same else bool(name)
-                sited = bool(site) and not shared
                 odds = BASE + SUPPORT * (named + bool(code) + sited) + OWN * own
                 odds += AGAINST * ((name is False) + (code is False) + (same is False))
-                out.append(odds)
-            yield pa.RecordBatch.from_arrays([b.column("l"), b.column("r"), pa.array(out, pa.float64())], ["l", "r", "prior"])
+                if odds > 0:
+                    left_.append(l), right_.append(r), out.append(odds)
+            yield pa.RecordBatch.from_arrays([pa.array(left_, pa.int64()), pa.array(right_, pa.int64()), pa.array(out, pa.float64())], ["l", "r", "prior"])
 
     return both.mapInArrow(score, "l long, r long, prior double")
 
@@ -177,17 +180,17 @@ def classes(records: DataFrame, hosts: DataFrame, codes: DataFrame) -> tuple[Dat
 
 
 def class_sizes(members: DataFrame, pairs: DataFrame, side: str) -> DataFrame:
-    """(side, side_n) of the classes in ``pairs``: 1, or 2 for two or more records, which is enough to tell that none of them can have more than half the probability."""
+    """(side, side_n): how many records each of the classes in ``pairs`` stands for."""
     asked = members.join(pairs.select(F.col(side).alias("class")).distinct(), "class", "left_semi")
-    return asked.groupBy(F.col("class").alias(side)).agg(F.when(F.min("id") == F.max("id"), 1).otherwise(2).alias(f"{side}_n"))
+    return asked.groupBy(F.col("class").alias(side)).agg(F.count_distinct("id").alias(f"{side}_n"))
 
 
 def match(left: DataFrame, right: DataFrame, id: str = "id", name: str = "name", postcode: str = "postcode", website: str = "website", towns: DataFrame | None = None, left_once: bool = False, right_once: bool = True, least: float = 0.5) -> DataFrame:
     """Matched records of two sources with a confidence: (left_id, right_id, p).
 
     Records are put into plain form; equal ones are matched as one class. Classes that share a blocking key (own page,
-    own host, postcode; busy postcodes with host, or with a word of the name but for typing, or its beginning or end) are candidates; their
-    prior log-odds count the attributes that speak for the pair. A chain's name and home page count as one, an
+    own host, postcode; busy postcodes with host, or with a word of the name but for typing, or its beginning or end) and
+    have two attributes or an own page that speak for them are candidates; their prior log-odds count these. A chain's name and home page count as one, an
     address on a platform as none, the page of a branch decides. Belief propagation (:func:`propagate`) then lets each
     right record have at most one left record (and, with ``left_once``, the reverse) and gives each pair its marginal;
     pairs of at least ``least`` come out. Left records that cannot be told apart share the probability.
@@ -196,9 +199,10 @@ def match(left: DataFrame, right: DataFrame, id: str = "id", name: str = "name",
     name. Nulls, blanks and placeholders are missing attributes; a record without any has no match; null ids are left
     out; repeated records count once. Empty tables give no rows; other columns are ignored.
     """
-    said = [] if towns is None else sorted({"".join(words_of(r[0])) for r in towns.limit(5001).collect() if r[0]})
-    if len(said) > 5000:
+    told = [] if towns is None else towns.distinct().limit(5001).collect()
+    if len(told) > 5000:
         raise ValueError("too many towns")
+    said = sorted({"".join(words_of(r[0])) for r in told if r[0]})
     a, b = (cut_table(plain(df, id, name, postcode, website)) for df in (left, right))
     often = a.where("host <> ''").groupBy("host").agg(F.count("*").alias("n")).where(F.col("n") > SHARED_POSTCODES).select("host")
     # Counted exactly, over distinct values first, so that a hot host is folded; repeated records count once.
@@ -207,7 +211,7 @@ def match(left: DataFrame, right: DataFrame, id: str = "id", name: str = "name",
     crowd = a.select("code").unionByName(b.select("code")).where("code <> ''").groupBy("code").agg(F.count("*").alias("n")).where(F.col("n") > BUSY_CODE)
     codes = cut(crowd.select("code", F.lit(True).alias("busy")))
     (lc, lm), (rc, rm) = classes(a, hosts, codes), classes(b, hosts, codes)
-    pairs = cut(candidates(lc, rc, said).where(F.col("prior") > -3.0))
+    pairs = cut(candidates(lc, rc, said))
     weighed = pairs.join(class_sizes(lm, pairs, "l"), "l").join(class_sizes(rm, pairs, "r"), "r")
     found = propagate(weighed, left_once, right_once).where(F.col("p") >= least)
     return found.join(lm.toDF("l", "left_id"), "l").join(rm.toDF("r", "right_id"), "r").groupBy("left_id", "right_id").agg(F.max("p").alias("p"))
