@@ -31,7 +31,8 @@ def p2_fused(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return addresses.pairs(addresses.same_premises(table(spark, d, "verify_positions")), "location")
+    """Records at one location, by address and postcode alone; towns are learnt from them."""
+    return addresses.pairs(addresses.same_premises(table(spark, d, "verify_positions"), area=None), "location")
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
