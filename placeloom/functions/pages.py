@@ -45,14 +45,19 @@ def meta(c: Column, name: str) -> Column:
 def links(c: Column) -> Column:
     """Distinct targets of the page's links, in order; anchors, scripts, mail and phone left out."""
     found = F.regexp_extract_all(c, F.lit(r"""(?is)<a\b[^>]*?href\s*=\s*["']([^"'#][^"']*)["']"""), F.lit(1))
-    return F.array_distinct(F.filter(F.transform(found, F.trim), lambda u: ~F.lower(u).rlike(r"^(javascript|mailto|tel|data):")))
+    return F.array_distinct(F.filter(F.transform(found, lambda u: F.trim(u)), lambda u: ~F.lower(u).rlike(r"^(javascript|mailto|tel|data):")))
 
 
-def hour_links(c: Column, host: Column, most: int = 3) -> Column:
-    """Links on the page's own host that speak of hours, visits or contact: the first ``most``."""
-    about = lambda u: F.lower(u).rlike(r"hour|opening|visit|contact|find|aukiolo|yhteys")
-    own = lambda u: ~u.rlike("(?i)^https?://") | (F.regexp_replace(F.regexp_extract(F.lower(u), r"^https?://([^/?#]+)", 1), r"^www\.", "") == host)
-    return F.slice(F.filter(links(c), lambda u: about(u) & own(u)), 1, most)
+# Words of links to pages that may state opening hours, English and Finnish.
+HOUR_WORDS = ("hour", "hours", "open", "opening", "openings", "times", "visit", "visiting", "contact", "contacts", "find", "findus", "location", "locations", "about", "aukioloajat", "yhteystiedot")
+
+
+def hour_links(c: Column, host: Column, most: int = 3, about: tuple[str, ...] = HOUR_WORDS) -> Column:
+    """Links on the page's own host of whose words one is in ``about``: the first ``most``."""
+    path = lambda u: F.regexp_replace(F.lower(u), r"^https?://[^/?#]+", "")
+    telling = lambda u: F.arrays_overlap(F.split(path(u), "[^a-z]+"), F.array(*map(F.lit, about)))
+    site = lambda u: F.regexp_replace(F.regexp_extract(F.lower(u), r"^https?://([^/?#]+)", 1), r"^www\.", "")
+    return F.slice(F.filter(links(c), lambda u: telling(u) & site(u).isin("", host)), 1, most)
 
 
 def linked_data(c: Column) -> Column:

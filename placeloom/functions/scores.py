@@ -102,9 +102,9 @@ def list_verdict(ours: Column, theirs: Column) -> Column:
 
 
 def text_hash36(c: Column) -> Column:
-    """Multiply-by-33 hash of the text's code units, 32 bits, in base 36 small letters."""
-    units = F.transform(F.filter(F.split(c, ""), lambda x: x != ""), lambda x: F.ascii(x).cast("long"))
-    h = F.aggregate(units, F.lit(5381).cast("long"), lambda acc, u: (acc * 33 + u).bitwiseAND(F.lit(0xFFFFFFFF)))
+    """Multiply-by-33 hash of the text's 16-bit code units, 32 bits, in base 36 small letters."""
+    units = F.regexp_extract_all(F.hex(F.encode(c, "UTF-16BE")), F.lit("....").cast("string"), F.lit(0))
+    h = F.aggregate(F.transform(units, lambda u: F.conv(u, 16, 10).cast("long")), F.lit(5381).cast("long"), lambda acc, u: (acc * 33 + u).bitwiseAND(F.lit(0xFFFFFFFF)))
     return F.lower(F.conv(h.cast("string"), 10, 36))
 
 
@@ -128,3 +128,18 @@ def max_confidence(top: Column, parts: Column, dataset: str) -> Column:
     """The greater of a record's confidence and those of one contributor's parts (dataset, confidence)."""
     theirs = F.array_max(F.transform(F.filter(parts, lambda s: s["dataset"] == dataset), lambda s: s["confidence"]))
     return F.greatest(F.coalesce(top, F.lit(0.0)), F.coalesce(theirs, F.lit(0.0)))
+
+
+def latest_state(entries: Column, states: dict[str, tuple[str, ...]]) -> Column:
+    """The first of ``states`` of whose words one is the ``text`` of an entry; 'unknown' if none is. Give the state that ends all others first."""
+    texts = F.transform(entries, lambda e: e["text"])
+    out = F.lit("unknown")
+    for state, words in reversed(states.items()):
+        out = F.when(F.arrays_overlap(texts, F.array(*map(F.lit, words))), state).otherwise(out)
+    return out
+
+
+def current_name(entries: Column) -> Column:
+    """The ``name`` of the last entry whose ``ends`` is null, else of the last of all."""
+    live = F.filter(entries, lambda e: e["ends"].isNull())
+    return F.coalesce(F.try_element_at(live, F.lit(-1))["name"], F.try_element_at(entries, F.lit(-1))["name"])

@@ -136,13 +136,29 @@ def brand_gate(name: Column | str, brand: Column | str) -> Column:
     return F.when(F.size(b) == 0, "no").when(F.size(long) == 0, "initials").when(told, "yes").otherwise("no")
 
 
-def same_brand(a: Column | str, b: Column | str, common: tuple[str, ...] = (*GENERIC_WORDS, "and", "the", "of", "pub", "bar", "inn", "cafe", "restaurant", "hotel", "shop", "food")) -> Column:
-    """Whether two occupants are of one brand: a shared long word, a shared telling short word, equal names, a name followed by common words only, or equal without blanks."""
-    x, y = normal_name(a, ()), normal_name(b, ())
-    both = lambda least, stop: F.size(F.array_intersect(words(x, least, stop), words(y, least, stop))) > 0
-    tail = lambda p, q: (F.length(q) >= 4) & p.startswith(F.concat(q, F.lit(" "))) & F.forall(F.split(F.substr(p, F.length(q) + 2), " "), lambda w: (F.length(w) < 3) | w.isin(*common))
-    cx, cy = F.replace(x, F.lit(" "), F.lit("")), F.replace(y, F.lit(" "), F.lit(""))
-    return both(6, ()) | both(3, common) | ((x != "") & (x == y)) | tail(x, y) | tail(y, x) | ((F.least(F.length(cx), F.length(cy)) >= 4) & (cx == cy))
+# Words that two occupants of one place may share without being of one brand.
+BRAND_STOP = (
+    "and", "the", "of", "pub", "bar", "inn", "cafe", "restaurant", "hotel", "shop", "store", "food", "southend", "leigh", "london",
+    "high", "street", "road", "sea", "old", "new", "north", "south", "east", "west", "hackney", "essex",
+)
+
+
+def same_brand(a: Column | str, b: Column | str, common: tuple[str, ...] = BRAND_STOP) -> Column:
+    """Whether two occupants are of one brand.
+
+    They share a telling word (six letters or more, or three and not ``common``), or one name goes on from the other's
+    four letters or more with common and short words only, or both are equal: as they stand, or, from four letters
+    on, without blanks.
+    """
+    idle = lambda w: (F.length(w) < 3) | w.isin(*common)
+    names = [normal_name(c, ()) for c in (a, b)]
+    telling = [F.filter(F.split(n, " "), lambda w: (F.length(w) >= 6) | ~idle(w)) for n in names]
+    first = F.length(names[0]) <= F.length(names[1])
+    brief, full = F.when(first, names[0]).otherwise(names[1]), F.when(first, names[1]).otherwise(names[0])
+    goes_on = (F.length(brief) >= 4) & full.startswith(F.concat(brief, F.lit(" "))) & F.forall(F.split(F.substr(full, F.length(brief) + 2), " "), idle)
+    bare = [F.replace(n, F.lit(" "), F.lit("")) for n in names]
+    equal = ((brief == full) & (brief != "")) | ((bare[0] == bare[1]) & (F.length(bare[0]) >= 4))
+    return F.arrays_overlap(*telling) | goes_on | equal
 
 
 def house_number(c: Column | str, anywhere: bool = True) -> Column:

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placeloom.functions.text import house_number, postcode, rule_name, same_brand, street_key, trailing_number, words
-
+from placeloom.functions.text import house_number, postcode, rule_name, stems, street_key, trailing_number
 
 
 def verdict(ok: Column, decision: str, rule: str, **evidence: Column) -> Column:
@@ -34,11 +33,13 @@ def pair_rules(a: str = "a_", b: str = "b_", protected: tuple[tuple[str, str], .
     is_protected = F.lit(False)
     for pair in protected:
         is_protected = is_protected | (kinds == F.array(*map(F.lit, sorted(pair))))
-    has_id = {p: F.coalesce(F.arrays_overlap(F.map_keys(col(p, "extra")), F.array(*map(F.lit, ("station_id", "crs", "atco")))), F.lit(False)) for p in (a, b)}
+    has_id = {p: F.coalesce(F.size(F.map_filter(col(p, "extra"), lambda k, v: k.isin("station_id", "crs", "atco") & (F.trim(v) != ""))) > 0, F.lit(False)) for p in (a, b)}
     transport = {p: has_id[p] | F.coalesce(col(p, "category").isin("station", "railway", "transit"), F.lit(False)) for p in (a, b)}
     lone = (transport[a] & ~transport[b] & ~has_id[b]) | (transport[b] & ~transport[a] & ~has_id[a]) | (transport[a] & transport[b] & ~(has_id[a] & has_id[b]))
-    telling = lambda p: F.array_except(words(name[p], 4), local) if local is not None else words(name[p], 4)
-    brand = same_brand(col(a, "name"), col(b, "name")) if local is None else F.size(F.array_intersect(telling(a), telling(b))) > 0
+    # One brand: a shared stem of a word of six letters or more that isn't a local one, or equal names but for blanks.
+    telling = lambda p: F.array_except(stems(name[p], 6), local) if local is not None else stems(name[p], 6)
+    bare = {p: F.replace(name[p], F.lit(" "), F.lit("")) for p in (a, b)}
+    brand = (F.size(F.array_intersect(telling(a), telling(b))) > 0) | ((bare[a] == bare[b]) & (F.length(bare[a]) >= 4))
     named = (name[a] != "") & (name[b] != "")
     street = street_key(col(a, "address")) == street_key(col(b, "address"))
     contrary = number[a].isNotNull() & number[b].isNotNull() & (number[a] != number[b])

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from placeloom.plans.cut import cut, small
+
 # Per cent of the ranking up to which a zoom level shows a place.
 ZOOM_BANDS = ((2, 12), (10, 13), (30, 14), (60, 15), (100, 16))
 
@@ -29,20 +31,30 @@ def newest_wins(layers: list[DataFrame], id: str) -> DataFrame:
     return out.join(first, [id, "_p"], "left_semi").drop("_p")
 
 
-def ranked(df: DataFrame, score: str, id: str, rank: str = "rank", step: int = 2048) -> DataFrame:
-    """Global rank 1.. by score (highest first, nulls last), then id, without a single-task sort.
+def ranked(df: DataFrame, score: str, id: str, rank: str = "rank", ascending: bool = False) -> DataFrame:
+    """Global rank 1.. by score (highest first, nulls last, or lowest first with ``ascending``), then id, without a single-task sort.
 
-    Rows are range-partitioned by the ranking; each partition is numbered by itself and shifted by the number of
-    rows before it, which is counted per partition.
+    Rows are range-partitioned by the ranking and sorted where they lie; a row's number is its place in its partition
+    plus the rows of the partitions before it, which are counted. Only the counts, one for each partition, meet in
+    one task.
     """
-    parts = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    placed = df.repartitionByRange(min(int(parts), step), F.col(score).desc_nulls_last(), F.col(id).asc()).withColumn("_part", F.spark_partition_id())
-    from placeloom.plans.cut import cut
+    return numbered(df, [], [F.col(score).asc_nulls_first() if ascending else F.col(score).desc_nulls_last(), F.col(id).asc()], rank)
+
 
-    held = cut(placed)
-    before = held.groupBy("_part").agg(F.count("*").alias("_n")).withColumn("_before", F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)))
-    mine = F.row_number().over(Window.partitionBy("_part").orderBy(F.col(score).desc_nulls_last(), F.col(id).asc()))
-    return held.withColumn("_mine", mine).join(F.broadcast(before), "_part").withColumn(rank, (F.col("_mine") + F.coalesce("_before", F.lit(0))).cast("long")).drop("_part", "_n", "_before", "_mine")
+def numbered(df: DataFrame, key: list[str], order: list[Column], rank: str) -> DataFrame:
+    """Number 1.. of each row in its ``key`` by ``order``; a key may fill many partitions (see :func:`ranked`)."""
+    by = [*map(F.col, key), *order]
+    placed = df.repartitionByRange(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by).sortWithinPartitions(*by)
+    # The order within a partition, and with it this id, is kept by the checkpoint.
+    held = cut(placed.withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", 33)
+    counts = held.groupBy(*key, part.alias("_part")).agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.partitionBy(*key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    told = small(before.select(*(F.col(c).alias(f"_k{i}") for i, c in enumerate(key)), "_part", "_first", "_before"))
+    on = part == F.col("_part")
+    for i, c in enumerate(key):
+        on = on & F.col(c).eqNullSafe(F.col(f"_k{i}"))
+    return held.join(told, on).withColumn(rank, (F.col("_at") - F.col("_first") + 1 + F.col("_before")).cast("long")).select(*df.columns, rank)
 
 
 def zoom_band(rank: Column, total: Column, bands: tuple[tuple[float, int], ...] = ZOOM_BANDS) -> Column:
@@ -70,12 +82,12 @@ def nearest_rank(values: Column, q: float) -> Column:
 
 
 def exact_quantiles(df: DataFrame, key: list[str], value: str, quantiles: dict[str, float]) -> DataFrame:
-    """Nearest-rank quantiles of each key, by numbering rather than collecting."""
-    known = df.where(F.col(value).isNotNull())
+    """Nearest-rank quantiles of each key, by numbering rather than collecting; a key's rows may lie in many partitions."""
+    known = df.where(F.col(value).isNotNull()).select(*key, value)
     n = known.groupBy(*key).agg(F.count("*").alias("_n"))
-    numbered = known.withColumn("_i", F.row_number().over(Window.partitionBy(*key).orderBy(value)) - 1).join(n, key)
-    at = lambda q: F.least(F.col("_n") - 1, F.floor(F.col("_n") * q))
-    return numbered.groupBy(*key).agg(*(F.max(F.when(F.col("_i") == at(q), F.col(value))).alias(name) for name, q in quantiles.items()))
+    each = numbered(known, key, [F.col(value).asc()], "_i").join(small(n), key)
+    at = lambda q: F.least(F.col("_n") - 1, F.floor(F.col("_n") * q)) + 1
+    return each.groupBy(*key).agg(*(F.max(F.when(F.col("_i") == at(q), F.col(value))).alias(name) for name, q in quantiles.items()))
 
 
 def difference(old: DataFrame, new: DataFrame, id: str, moved: Column, columns: list[str]) -> DataFrame:
@@ -88,7 +100,8 @@ def difference(old: DataFrame, new: DataFrame, id: str, moved: Column, columns:
 
 
 def table_hash(df: DataFrame, order: list[str]) -> DataFrame:
-    """One row (rows, sha256) that any layout of the same rows gives: a hash of row hashes, folded in groups by their first signs."""
-    row = F.sha2(F.to_json(F.struct(*sorted(df.columns))), 256)
-    group = df.select(row.alias("h")).groupBy(F.substring("h", 1, 3).alias("g")).agg(F.count("*").alias("n"), F.sha2(F.array_join(F.array_sort(F.collect_list("h")), ""), 256).alias("h"))
-    return group.agg(F.sum("n").alias("rows"), F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("g", "h"))), lambda x: x["h"]), ""), 256).alias("sha256"))
+    """One row (rows, sha256) that any layout of the same rows gives: a hash of the sums of the parts of row hashes, which partial aggregation folds; nothing is collected."""
+    h = F.sha2(F.to_json(F.struct(*sorted(df.columns))), 256)
+    parts = [F.conv(F.substring("h", 1 + 8 * k, 8), 16, 10).cast("decimal(38,0)") for k in range(8)]
+    sums = df.select(h.alias("h")).agg(F.count("*").alias("rows"), *(F.coalesce(F.sum(p), F.lit(0)).alias(f"p{k}") for k, p in enumerate(parts)))
+    return sums.select("rows", F.sha2(F.concat_ws(",", "rows", *(f"p{k}" for k in range(8))), 256).alias("sha256"))

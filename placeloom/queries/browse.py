@@ -16,6 +16,24 @@ from placeloom.sources.sinks import detail_shards, name_shards, pins
 
 NOW = "2031-03-01 00:00:00"
 
+#: Days and ranges of map syntax: v (id, h), told (id, with any day), wk (id, n, o, c).
+_WEEKS = r"""
+WITH v AS (SELECT DISTINCT id, opening_hours_osm AS h FROM verify_positions WHERE opening_hours_osm IS NOT NULL),
+days AS (SELECT * FROM (VALUES (1, 'Mo'), (2, 'Tu'), (3, 'We'), (4, 'Th'), (5, 'Fr'), (6, 'Sa'), (7, 'Su')) AS t(n, day)),
+u AS (SELECT id, unnest(range(1, len(rs) + 1)) AS k, unnest(rs) AS rule FROM (SELECT id, string_split(h, ';') AS rs FROM v WHERE NOT regexp_matches(h, '24\s*/\s*7'))),
+p AS (SELECT id, k, regexp_extract(regexp_replace(rule, '^\s+|\s+$', '', 'g'), '^(\S+)\s+(.+)$', ['d', 't']) AS g FROM u),
+q AS (SELECT id, k, string_split(g.d, ',') AS ds, string_split(g.t, ',') AS ts FROM p WHERE g.d <> ''),
+good AS (SELECT * FROM q WHERE len(list_filter(ds, lambda x: NOT regexp_matches(x, '^[A-Za-z]{2}(-[A-Za-z]{2})?$'))) = 0),
+ends AS (SELECT id, k, upper(substr(x, 1, 1)) || lower(substr(x, 2, 1)) AS a, upper(substr(x, len(x) - 1, 1)) || lower(substr(x, len(x), 1)) AS b FROM (SELECT id, k, unnest(ds) AS x FROM good)),
+named AS (SELECT DISTINCT id, k, d.n FROM ends JOIN days a ON a.day = ends.a JOIN days b ON b.day = ends.b JOIN days d ON CASE WHEN a.n <= b.n THEN d.n BETWEEN a.n AND b.n ELSE d.n >= a.n OR d.n <= b.n END),
+spans AS (SELECT id, k, unnest(ts) AS t FROM good),
+shut AS (SELECT DISTINCT id, k FROM spans WHERE NOT regexp_matches(t, '\d{1,2}:\d{2}\s*-\s*\d{1,2}:\d{2}') AND regexp_matches(t, '(?i)off|closed')),
+r AS (SELECT id, k, regexp_extract(t, '(\d{1,2}):(\d{2})\s*-\s*(\d{1,2}):(\d{2})', ['a', 'b', 'c', 'd']) AS x FROM spans WHERE regexp_matches(t, '\d{1,2}:\d{2}\s*-\s*\d{1,2}:\d{2}')),
+w AS (SELECT id, n, x.a::INT * 60 + x.b::INT AS o, CASE WHEN x.c::INT * 60 + x.d::INT = 0 THEN 1440 ELSE x.c::INT * 60 + x.d::INT END AS c FROM r JOIN named USING (id, k) ANTI JOIN shut USING (id, k)),
+wk AS (SELECT id, n, o, c FROM w UNION ALL SELECT id, n, 0, 1440 FROM v, days WHERE regexp_matches(h, '24\s*/\s*7')),
+told AS (SELECT DISTINCT id FROM named UNION SELECT id FROM v WHERE regexp_matches(h, '24\s*/\s*7'))
+"""
+
 
 def pois(spark: SparkSession, d: str) -> DataFrame:
     """One record an id, with the age of its last touch, its evidence, tier and rank."""
@@ -108,29 +126,25 @@ def first_contact(spark: SparkSession, d: str) -> DataFrame:
     return v.select("id", first_full(F.col("phone"), F.col("website")).alias("contact"))
 
 
-@query()
+@query(_WEEKS + "SELECT id, day, o, c FROM wk JOIN days USING (n)")
 def hours_parsed(spark: SparkSession, d: str) -> DataFrame:
     """Opening hours as ranges of minutes, one row a day and range."""
     v = table(spark, d, "verify_positions").where("opening_hours_osm is not null").select("id", "opening_hours_osm").distinct().select("id", hours.week(F.col("opening_hours_osm")).alias("week"))
     return v.select("id", F.explode("week").alias("day", "ranges")).select("id", "day", F.explode("ranges").alias("r")).select("id", "day", "r.o", "r.c")
 
 
-@query(r"""
-WITH v AS (SELECT DISTINCT id, opening_hours_osm AS h FROM verify_positions WHERE opening_hours_osm IS NOT NULL),
-m AS (SELECT id, regexp_extract(trim(rule), '^([A-Za-z]{2}(?:-[A-Za-z]{2})?(?:,[A-Za-z]{2}(?:-[A-Za-z]{2})?)*)\s+(.+)$', ['d', 't']) AS g FROM (SELECT id, unnest(string_split(h, ';')) AS rule FROM v)),
-c AS (SELECT id, g.t AS t, unnest(string_split(g.d, ',')) AS k FROM m WHERE g.d <> ''),
-x AS (SELECT id, t, list_position(['Mo', 'Tu', 'We', 'Th', 'Fr', 'Sa', 'Su'], substr(k, 1, 2)) AS a, list_position(['Mo', 'Tu', 'We', 'Th', 'Fr', 'Sa', 'Su'], CASE WHEN contains(k, '-') THEN split_part(k, '-', 2) ELSE k END) AS b FROM c),
-s AS (SELECT id, unnest(string_split(t, ',')) AS s FROM x WHERE (a <= b AND 4 BETWEEN a AND b) OR (a > b AND (4 >= a OR 4 <= b))),
-r AS (SELECT id, regexp_extract(s, '(\d{1,2}):(\d{2})\s*-\s*(\d{1,2}):(\d{2})', ['oh', 'om', 'ch', 'cm']) AS r FROM s WHERE regexp_matches(s, '\d{1,2}:\d{2}\s*-\s*\d{1,2}:\d{2}')),
-o AS (SELECT DISTINCT id FROM (SELECT id, r.oh::INT * 60 + r.om::INT AS o, r.ch::INT * 60 + r.cm::INT AS c FROM r) WHERE o <= 750 AND (750 < c OR c = 0 OR c < o))
-SELECT id, CASE WHEN regexp_matches(h, '24\s*/\s*7') OR id IN (SELECT id FROM o) THEN 'open' WHEN id IN (SELECT id FROM x WHERE a IS NOT NULL AND b IS NOT NULL) THEN 'closed' ELSE 'unknown' END AS state FROM v""")
+@query(_WEEKS + """SELECT id, CASE WHEN id IN (SELECT id FROM wk WHERE n = 4 AND o <= 750 AND (750 < c OR c < o) UNION ALL SELECT id FROM wk WHERE n = 3 AND c < o AND 750 < c) THEN 'open' WHEN id IN (SELECT id FROM told) THEN 'closed' ELSE 'unknown' END AS state FROM v""")
 def open_at_noon(spark: SparkSession, d: str) -> DataFrame:
     """Which records are open on a Thursday at 12:30."""
     v = table(spark, d, "verify_positions").where("opening_hours_osm is not null").select("id", "opening_hours_osm").distinct()
     return v.select("id", hours.open_at(hours.week(F.col("opening_hours_osm")), F.lit("Th"), F.lit(750)).alias("state"))
 
 
-@query()
+@query(_WEEKS + """
+, sa AS (SELECT id, bool_or(o <= 90 AND (90 < c OR c < o)) AS late, bool_or(o <= 90 AND 90 < c) AS strict, min(CASE WHEN o <= 90 AND 90 < c THEN c END) AS ends, min(CASE WHEN o > 90 THEN o END) AS begins FROM wk WHERE n = 6 GROUP BY id),
+fr AS (SELECT id, bool_or(c < o AND 90 < c) AS late FROM wk WHERE n = 5 GROUP BY id)
+SELECT v.id, CASE WHEN told.id IS NULL THEN 'unknown' WHEN sa.late OR fr.late THEN 'open' ELSE 'closed' END AS state, CASE WHEN told.id IS NULL THEN 'unknown' WHEN sa.strict THEN 'open' ELSE 'closed' END AS strict, coalesce(sa.ends, sa.begins) AS next
+FROM v LEFT JOIN told USING (id) LEFT JOIN sa USING (id) LEFT JOIN fr USING (id)""")
 def open_late_on_friday(spark: SparkSession, d: str) -> DataFrame:
     """Open at half past one in the night to Saturday, when Friday's hours run past midnight; and as a strict reader sees it."""
     v = table(spark, d, "verify_positions").where("opening_hours_osm is not null").select("id", "opening_hours_osm").distinct().select("id", hours.week(F.col("opening_hours_osm")).alias("week"))
@@ -138,7 +152,18 @@ def open_late_on_friday(spark: SparkSession, d: str) -> DataFrame:
     return v.select("id", hours.open_at(*at).alias("state"), hours.open_at(*at, strict=True).alias("strict"), hours.next_change(*at).alias("next"))
 
 
-@query()
+@query(f"""
+WITH n AS (SELECT coalesce(fsa_id, TRY_CAST(nullif(regexp_extract(osm_fhrs_id, '^\\s*0*([0-9]{{1,18}})\\s*$', 1), '') AS BIGINT)) AS number, opening_hours_osm AS h FROM verify_positions WHERE regexp_matches(opening_hours_osm, '[0-9]:[0-9]')),
+two AS (SELECT number, min(h) AS a, max(h) AS b FROM n WHERE number IS NOT NULL GROUP BY number HAVING min(h) <> max(h)),
+{_WEEKS.replace("WITH v AS (SELECT DISTINCT id, opening_hours_osm AS h FROM verify_positions WHERE opening_hours_osm IS NOT NULL)", "v AS (SELECT a AS id, a AS h FROM two UNION SELECT b, b FROM two)").strip()},
+alld AS (SELECT DISTINCT id, n FROM named UNION SELECT id, n FROM wk),
+dayed AS (SELECT a.id, a.n, list_sort(list((o, c)) FILTER (WHERE o IS NOT NULL)) AS rs FROM alld a LEFT JOIN wk ON wk.id = a.id AND wk.n = a.n GROUP BY a.id, a.n),
+tab AS (SELECT v.id, coalesce(list_sort(list((n, coalesce(rs::VARCHAR, ''))) FILTER (WHERE n IS NOT NULL))::VARCHAR, '') AS t FROM v LEFT JOIN dayed USING (id) GROUP BY v.id),
+pr AS (SELECT id, k, regexp_extract(regexp_replace(rule, '^\\s+|\\s+$', '', 'g'), '^([A-Za-z,\\-]+)\\s+(\\d{{2}}:\\d{{2}}-\\d{{2}}:\\d{{2}})', ['d', 't']) AS g FROM (SELECT id, unnest(range(1, len(rs) + 1)) AS k, unnest(rs) AS rule FROM (SELECT id, string_split(h, ';') AS rs FROM v))),
+pe AS (SELECT id, k, t, upper(substr(a, 1, 1)) || lower(substr(a, 2, 1)) AS a, upper(substr(b, 1, 1)) || lower(substr(b, 2, 1)) AS b FROM (SELECT id, k, t, split_part(x, '-', 1) AS a, CASE WHEN contains(x, '-') THEN split_part(x, '-', 2) ELSE x END AS b FROM (SELECT id, k, g.t AS t, unnest(string_split(g.d, ',')) AS x FROM pr WHERE g.d <> ''))),
+pd AS (SELECT DISTINCT id, k, t, d.n FROM pe JOIN days a ON a.day = pe.a JOIN days b ON b.day = pe.b JOIN days d ON CASE WHEN a.n <= b.n THEN d.n BETWEEN a.n AND b.n ELSE d.n >= a.n OR d.n <= b.n END),
+pt AS (SELECT v.id, coalesce(list_sort(list((n, ts)) FILTER (WHERE n IS NOT NULL))::VARCHAR, '') AS t FROM v LEFT JOIN (SELECT id, n, list_sort(list(t))::VARCHAR AS ts FROM pd GROUP BY id, n) USING (id) GROUP BY v.id)
+SELECT number, x.t = y.t AS same_table, regexp_replace(a, '\\s+', '', 'g') = regexp_replace(b, '\\s+', '', 'g') AS same_text, p.t = q.t AS same_plain FROM two JOIN tab x ON x.id = a JOIN tab y ON y.id = b JOIN pt p ON p.id = a JOIN pt q ON q.id = b""")
 def hours_conflicts(spark: SparkSession, d: str) -> DataFrame:
     """Register numbers whose records state different hours, compared as tables and as texts."""
     v = table(spark, d, "verify_positions").where("opening_hours_osm rlike '[0-9]:[0-9]'")

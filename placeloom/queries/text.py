@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from placeloom.functions import text as T
 from placeloom.functions.scores import any_date, place_hash, text_hash36
 from placeloom.queries import query, table
+from placeloom.queries import sqltext as Q
 
 _NORMAL = r"trim(regexp_replace(regexp_replace(replace(regexp_replace(lower(coalesce({c}, '')), '\b(ltd|limited|plc|the|oy|ab)\b', '', 'g'), '&', 'and'), '[^a-z0-9åäö ]', ' ', 'g'), '\s+', ' ', 'g'))"
 _CHAIN = r"trim(regexp_replace(regexp_replace(replace(regexp_replace(lower(coalesce({c}, '')), '\b(ltd|limited|plc|the)\b', '', 'g'), '&', 'and'), '[^a-z0-9åäö ]', ' ', 'g'), '\s+', ' ', 'g'))"
@@ -42,7 +43,10 @@ def name_scores(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "aliases").where("alias_name is not null").select("alias_id", F.round(T.name_score("registered_name", "alias_name"), 6).alias("score")).distinct()
 
 
-@query()
+@query(f"""
+WITH a AS (SELECT DISTINCT alias_id, registered_name AS a, alias_name AS b FROM aliases WHERE alias_name IS NOT NULL AND trim(alias_name) <> ''),
+s AS (SELECT *, {Q.anchored("a", "b")} AS score FROM a)
+SELECT alias_id, round(score, 6) AS score, {Q.accepted("a", "b", "score", "100.0", "false")} AS accepted, {Q.gate("a", "b")} AS gate, {Q.brand("a", "b", T.BRAND_STOP)} AS brand FROM s""")
 def name_decisions(spark: SparkSession, d: str) -> DataFrame:
     """Anchored score, acceptance, brand gate and brand equality of the two names of an alias row."""
     a = table(spark, d, "aliases").where("alias_name is not null and trim(alias_name) <> ''").select("alias_id", "registered_name", "alias_name").distinct()

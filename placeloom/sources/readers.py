@@ -128,11 +128,11 @@ PHARMACIES = "ods string, name string, org string, address string, postcode stri
 
 def pharmacies(spark: SparkSession, path: str, schema: str = PHARMACIES) -> DataFrame:
     """CSV list of pharmacies without distance sellers, with a map of cleaned hours."""
-    from placeloom.functions.hours import clean_range
+    from placeloom.functions.hours import clean_ranges
 
     df = spark.read.csv(path, schema=schema, header=True, mode="PERMISSIVE", multiLine=True)
     days = ("mo", "tu", "we", "th", "fr", "sa", "su")
-    hours = F.map_filter(F.create_map(*(x for d in days for x in (F.lit(d.capitalize()), clean_range(F.col(d))))), lambda _, v: v.isNotNull())
+    hours = F.map_filter(F.create_map(*(x for d in days for x in (F.lit(d.capitalize()), clean_ranges(F.col(d))))), lambda _, v: v.isNotNull())
     return df.where(~F.lower(F.coalesce("contract", F.lit(""))).contains("distance")).withColumn("hours", hours).drop(*days)
 
 

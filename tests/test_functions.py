@@ -113,18 +113,27 @@ def test_hashes_and_dates(spark):
     ("text", "day", "ranges"),
     [("24/7", "We", [(0, 1440)]), ("Mo-Fr 09:00-17:00; Sa 10:00-00:00", "Sa", [(600, 1440)]), ("Fr-Mo 10:00-12:00", "Su", [(600, 720)]), ("Su off", "Su", []), ("Mo-Sa 11:00-14:00,18:00-22:00", "Tu", [(660, 840), (1080, 1320)]), ("Mo,We 09:00-10:00", "We", [(540, 600)]), ("Mo-Fr 09:00-17:00", "Su", None), ("call us", "Mo", None), ("", "Mo", None)],
 )
-def test_reading_a_week(text, day, ranges):
-    assert hours.read_week(text).get(day) == ranges
+def test_reading_a_week(spark, text, day, ranges):
+    got = one(spark, hours.week(F.lit(text)))
+    assert ([tuple(r) for r in got[day]] if day in got else None) == ranges
 
 
 @pytest.mark.parametrize("text", ["Mo-Fr 09:00-17:00; Sa 10:00-14:00", "Mo 09:00-12:00,13:00-17:00", "Mo-Su 00:00-24:00", "Tu 18:00-02:00"])
-def test_writing_is_the_reverse_of_reading(text):
-    assert hours.write_week(hours.read_week(text)) == text
+def test_writing_is_the_reverse_of_reading(spark, text):
+    assert one(spark, hours.written(hours.week(F.lit(text)))) == text
+
+
+def test_reading_as_compared(spark):
+    got = one(spark, hours.week(F.lit("Sa-Mo 09:00-12:00, 14:00-18:00;Mo 07:00-08:00; x; Tuesday 09:00-10:00"), "plain"))
+    assert {d: [tuple(r) for r in rs] for d, rs in got.items()} == {"Sa": [(540, 720)], "Su": [(540, 720)], "Mo": [(420, 480), (540, 720)], "Tu": [(540, 600)]}
+    assert one(spark, hours.week(F.lit(None).cast("string"), "plain")) is None and one(spark, hours.written(hours.week(F.lit("x"), "plain"))) is None
 
 
 def test_other_grammars():
     w = hours.write_week
     assert w(hours.read_finnish("ma-pe 11.30-2.00, la 12-18\nsu suljettu\nma 1.5.2030 10-12")) == "Mo-Fr 11:30-02:00; Sa 12:00-18:00"
+    assert w(hours.read_finnish("ti-to\n  10.30-14.30\n  16.30-21.30\nla suljettu\n 10.00-12.00")) == "Tu-Th 10:30-14:30,16:30-21:30"
+    assert w(hours.read_finnish("1.5.2030-1.6.2030\n10.00-12.00\nma varauksella\n10.00-11.00\npe 9.00-0.00\nsu kiinni")) == "Fr 09:00-24:00"
     assert w(hours.read_day_map('{"monday": "11-23", "tiistai": "10.30-14", "x": 3}')) == "Mo 11:00-23:00; Tu 10:30-14:00"
     assert w(hours.read_day_map("not json")) == w(hours.read_day_map(None)) == ""
     assert w(hours.read_specification('[{"dayOfWeek": ["https://schema.org/Monday", "Tuesday"], "opens": "09:00", "closes": "17:00"}, 7]')) == "Mo-Tu 09:00-17:00"
@@ -146,14 +155,21 @@ def test_delivery_hours_are_marked_and_never_win(spark):
     assert (v.primary, v.conflict) == ("Mo-Fr 09:00-17:00", False)
 
 
-def test_reconciling():
-    r = hours.reconcile
-    assert r("Mo 09:00-17:00", ["Mo 09:00-17:00"])["method"] == "agree"
-    assert r("Mo 09:00-22:00", ["Mo 12:00-14:00", "Mo 18:00-22:00"]) == {"primary": "Mo 12:00-14:00,18:00-22:00", "alt": None, "method": "union", "conflict": False}
-    clash = r("Mo 09:00-17:00", ["Mo 12:00-20:00"])
-    assert clash["conflict"] and clash["alt"] == "Mo 12:00-20:00"
-    assert r("Mo 09:00-17:00", ["Mo 12:00-20:00", "Mo 13:00-21:00"])["method"] == "structured"
-    assert r(None, [])["primary"] is None
+def test_reconciling(spark):
+    def r(structured, said):
+        rules = F.array(*(F.struct(F.lit(t).alias("rule"), F.lit("").alias("raw"), F.lit("dine-in").alias("kind")) for t in said)) if said else F.array().cast("array<struct<rule:string,raw:string,kind:string>>")
+        v = one(spark, hours.verdict(F.lit(structured).cast("string"), rules))
+        return (v.primary, v.alt, v.method, v.conflict)
+
+    assert r("Mo 09:00-17:00", ["Mo 09:00-17:00"]) == ("Mo 09:00-17:00", None, "agree", False)
+    assert r("Mo-Fr 09:00-17:00", ["Mo-Sa 09:00-17:00"])[2] == "agree"
+    assert r("Mo 09:00-22:00", ["Mo 12:00-14:00", "Mo 18:00-22:00"]) == ("Mo 12:00-14:00,18:00-22:00", None, "union", False)
+    assert r("Mo 09:00-12:00", ["Mo 13:00-17:00", "Tu 13:00-17:00"]) == ("Mo 09:00-12:00,13:00-17:00; Tu 13:00-17:00", None, "union", False)
+    assert r("Mo 09:00-17:00", ["Sa 09:00-17:00"]) == ("Sa 09:00-17:00", "Mo 09:00-17:00", "text", True)
+    assert r("Mo 09:00-17:00", ["Mo 12:00-20:00"]) == ("Mo 12:00-20:00", "Mo 09:00-17:00", "text", True)
+    assert r("Mo-Tu 09:00-17:00", ["Mo 12:00-20:00"])[2:] == ("structured", True)
+    assert r("Mo 09:00-17:00", ["Mo 12:00-20:00", "Mo 13:00-21:00"])[2:] == ("structured", True)
+    assert r(None, []) == (None, None, None, False) and r(None, ["Mo 09:00-10:00"])[2] == "text" and r("Mo 09:00-10:00", [])[2] == "structured"
 
 
 def test_open_at(spark):
@@ -169,7 +185,15 @@ def test_open_at(spark):
 def test_same_hours(spark):
     w = lambda t: hours.week(F.lit(t))
     assert one(spark, hours.same_hours(w("Mo,Tu 09:00-10:00"), w("Tu 09:00-10:00; Mo 09:00-10:00"))) is True
-    assert one(spark, hours.clean_range(F.lit("9:00 to 17:30"))) == "09:00-17:30"
+    assert one(spark, hours.clean_ranges(F.lit("09:00-12:30, 14:00 - 19:00,CLOSED"))) == "09:00-12:30,14:00 - 19:00" and one(spark, hours.clean_ranges(F.lit("CLOSED"))) is None
+
+
+def test_fields_of_single_sources(spark):
+    fields = lambda rules, *texts: one(spark, hours.split_fields(F.lit(rules).cast("array<string>"), *(F.lit(t).cast("string") for t in texts)))
+    assert fields(["Mo-Fr 10:00-20:00", None, "Sa 10:00-18:00"], None, None, None) == "Mo-Fr 10:00-20:00; Sa 10:00-18:00"
+    assert fields(None, "10:00-20:00 ", "closed", "12:00-16:00") == "Mo,Tu,We,Th,Fr 10:00-20:00; Su 12:00-16:00" and fields([], "", None, "x") is None
+    modes = F.array(*(F.struct(F.lit(d).alias("day"), F.lit(m).alias("mode")) for d, m in (("Monday", "24H"), ("Tue", "6:00-22:00"), ("Sat", "BY_AGREEMENT"), ("x", "24H"))))
+    assert one(spark, hours.day_modes(modes)) == "Mo 00:00-24:00; Tu 6:00-22:00"
 
 
 # --- pages
