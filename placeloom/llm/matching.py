@@ -17,7 +17,7 @@ BASE, SUPPORT, OWN, AGAINST = -6.0, 4.0, 9.0, -0.5
 #: A host that stands with more than so many postcodes is shared: by a chain, or, where most of its names differ, on a platform.
 SHARED_POSTCODES, PLATFORM_NAMES = 5, 0.5
 #: The pairs of a postcode of more records than this are found by finer keys. Both ways find all pairs with two supports.
-BUSY_CODE = 60
+BUSY_CODE = 200
 
 _POSTCODE = re.compile(r"[a-z]{1,2}\d{1,2}\d[a-z]{2}|\d{5}")
 _URL = re.compile(r"^(?:https?://)?(?:www\.)?([^\s/?#@:]+\.[a-z]{2,})(?::\d+)?(/[^?#\s]*)?", re.I)

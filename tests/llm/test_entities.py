@@ -163,7 +163,39 @@ def test_two_of_three_attributes(spark, monkeypatch, busy):
     assert _match(spark, [], right) == set() == _match(spark, left, [])
 
 
-def test_busy_postcode_loses_no_name_that_agrees(spark):
+def test_both_ways_of_a_postcode_give_the_same_rows(spark, monkeypatch):
+    rng = random.Random(21)
+    made = lambda n: "".join(rng.choices("abdefgiklmnoprstu", k=n))
+    base = [f"{made(rng.randint(4, 9))} {rng.choice(['Motel', 'Books', 'Yarns'])}" for _ in range(30)]
+
+    def record(k, kind):
+        w = list(rng.choice(base))
+        for _ in range(rng.randint(0, 2)):
+            i = rng.randrange(len(w) - 1)
+            w[i : i + 2] = rng.choice([w[i + 1 :: -1][:2], [w[i]], ["x", w[i + 1]]])
+        site = rng.choice([None, f"{kind[:1]}{rng.randrange(40)}.test", f"h{rng.randrange(20)}.test", f"h{rng.randrange(20)}.test/p/{rng.randrange(5)}0000"])
+        return (f"{kind}{k}", rng.choice([None, "".join(w), "".join(w)]), rng.choice([None, "QN1 1AA", "QN1 1AA", "QE2 2BB"]), site)
+
+    left, right = [record(k, "o") for k in range(120)], [record(k, "s") for k in range(60)]
+    a, b = (spark.createDataFrame([(*r, 0.0) for r in rows], PLACE) for rows in (left, right))
+    got = []
+    for busy in (10**9, 20, 0):
+        monkeypatch.setattr(matching, "BUSY_CODE", busy)
+        got.append({(r.left_id, r.right_id): round(r.p, 6) for r in matching.match(a, b).collect()})
+    assert got[0] == got[1] == got[2] and len(got[0]) > 5
+
+
+def test_rivals_count_each(spark):
+    # Five equal records share the probability; a postcode alone is no rival.
+    left = [("o0", "Pellworth Bakes", "QN1 1AA", None)] + [(f"r{k}", f"Wimhalca {k} Books", "QN1 1AA", None) for k in range(80)]
+    assert _match(spark, left, [("s", "Pellworth Bakes", "QN1 1AA", None)]) == {("o0", "s")}
+    pairs = spark.createDataFrame([(1, 1, 2.0)], "l long, r long, prior double")
+    members = spark.createDataFrame([(1, f"o{k % 5}") for k in range(9)], "class long, id string")
+    assert matching.class_sizes(members, pairs, "l").first().l_n == 5
+
+
+def test_busy_postcode_loses_no_name_that_agrees(spark, monkeypatch):
+    monkeypatch.setattr(matching, "BUSY_CODE", 60)
     rng = random.Random(8)
     made = lambda n: "".join(rng.choices("abdefgiklmnoprstu", k=n))
     names_ = [made(5) for _ in range(25)] + [made(4) for _ in range(15)] + [f"{made(8)} {made(9)}" for _ in range(20)] + ["Xi Wu", "Bo Li Fumlakford"]
