@@ -5,7 +5,9 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,6 +76,25 @@ def _dictionary(words: DataFrame, path: str | None) -> DataFrame:
     return words.groupBy("piece").agg(F.count("*").alias("n")).mapInArrow(encode, "piece string, n long, ids array<int>")
 
 
+def _flat(lists: pa.ListArray) -> tuple[pa.Array, np.ndarray]:
+    """The values of all lists after each other, and where each list begins, with the end."""
+    return pc.list_flatten(lists), np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]).astype(np.int64)
+
+
+def _lists(ends: np.ndarray, values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+
+
+def _expand(values: list, each: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``values[i]`` for every i of ``each`` after each other, and where each begins, with the end."""
+    size = np.fromiter(map(len, values), np.int64, len(values))
+    flat = np.fromiter((x for v in values for x in v), np.int32, int(size.sum()))
+    counts = size[each]
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    begins = np.cumsum(size) - size
+    return flat[np.repeat(begins[each] - ends[:-1], counts) + np.arange(ends[-1])], ends
+
+
 def encode(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """Token ids of every text: (doc_id, ids array<int>), without special tokens.
 
@@ -97,27 +118,26 @@ def encode(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", pat
         """Ids with -1 in the place of each piece that isn't frequent, and those pieces."""
         find = held.value.get
         for b in batches:
-            ids, holes = [], []
-            for found in b.column("pieces").to_pylist():
-                mine, rest = [], []
-                for p in found:
-                    got = find(p)
-                    if got is None:
-                        mine.append(-1)
-                        rest.append(p)
-                    else:
-                        mine += got
-                ids.append(mine)
-                holes.append(rest)
-            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("doc_id"), pa.array(ids, pa.list_(pa.int32())), pa.array(holes, pa.list_(pa.string()))], ["row", "doc_id", "ids", "holes"])
+            flat, at = _flat(b.column("pieces"))
+            told = flat.dictionary_encode()
+            each = told.indices.to_numpy(zero_copy_only=False)
+            found = [find(p) for p in told.dictionary.to_pylist()]
+            ids, ends = _expand([(-1,) if f is None else f for f in found], each)
+            hole = np.array([f is None for f in found], bool)[each]
+            out = [_lists(ends[at], pa.array(ids, pa.int32())), _lists(np.concatenate([[0], np.cumsum(hole)])[at], flat.filter(pa.array(hole, pa.bool_())))]
+            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("doc_id"), *out], ["row", "doc_id", "ids", "holes"])
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for ids, fills in zip(b.column("ids").to_pylist(), b.column("fills").to_pylist(), strict=True):
-                after = iter(fills)
-                out.append([i for x in ids for i in (next(after) if x < 0 else (x,))])
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.list_(pa.int32()))], ["doc_id", "ids"])
+            flat, at = _flat(b.column("ids"))
+            ids = flat.to_numpy(zero_copy_only=False)
+            fills, into = _flat(pc.list_flatten(b.column("fills")))
+            counts = np.ones(len(ids), np.int64)
+            counts[ids < 0] = np.diff(into)
+            out = np.repeat(ids, counts)
+            out[out < 0] = fills.to_numpy(zero_copy_only=False)
+            ends = np.concatenate([[0], np.cumsum(counts)])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), _lists(ends[at], pa.array(out, pa.int32()))], ["doc_id", "ids"])
 
     begun = cut_table(split.mapInArrow(put_in, f"row long, doc_id {kind}, ids array<int>, holes array<string>"))
     gaps = begun.select("row", F.posexplode("holes").alias("pos", "piece")).join(known.where(~hot).select("piece", F.col("ids").alias("got")), "piece")
