@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from placeloom.functions.geo import LAT_M, LNG_M, cell, planar_m, segment_m
 from placeloom.operators.components import components
-from placeloom.plans.cut import cut, small
+from placeloom.plans.cut import cut
 
 
 def within(left: DataFrame, right: DataFrame, metres: float, lat: str = "lat", lng: str = "lng", prefix: tuple[str, str] = ("l_", "r_"), size: float = 0.01) -> DataFrame:
@@ -67,11 +67,15 @@ def fill_empty(target: DataFrame, source: DataFrame, key: str, columns: list[str
 def nearest_segment(points: DataFrame, segments: DataFrame, id: str, lat: str = "lat", lng: str = "lng", metres: float = 1000.0, size: float = 0.01) -> DataFrame:
     """(id, dist_m) to the nearest of ``segments`` (lat1, lng1, lat2, lng2) within ``metres``.
 
-    Segments are copied to the grid cells of their box, points look around their own; so lines of any number do.
+    Segments are cut into stretches about as long as a cell, each copied to the grid cells of its own box, so that a
+    long slanting one doesn't fill the cells beside it; points look up their own cell. Lines of any number do.
     """
     reach_y, reach_x = (int(-(-metres // (size * m))) for m in (LAT_M, LNG_M))
     span = lambda a, b, r: F.explode(F.sequence(cell(F.least(a, b), size) - r, cell(F.greatest(a, b), size) + r))
-    s = segments.select("lat1", "lng1", "lat2", "lng2").withColumn("_cx", span(F.col("lng1"), F.col("lng2"), reach_x)).withColumn("_cy", span(F.col("lat1"), F.col("lat2"), reach_y))
+    n = F.greatest(F.lit(1), F.ceil(F.greatest(F.abs(F.col("lat2") - F.col("lat1")), F.abs(F.col("lng2") - F.col("lng1"))) / size)).cast("int")
+    s = segments.select("lat1", "lng1", "lat2", "lng2").withColumn("_n", n).withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    at = lambda c, i: F.col(f"{c}1") + (F.col(f"{c}2") - F.col(f"{c}1")) * i / F.col("_n")
+    s = s.withColumn("_cx", span(at("lng", F.col("_i")), at("lng", F.col("_i") + 1), reach_x)).withColumn("_cy", span(at("lat", F.col("_i")), at("lat", F.col("_i") + 1), reach_y)).drop("_n", "_i").distinct()
     p = points.select(F.col(id), F.col(lat).alias("_lat"), F.col(lng).alias("_lng")).where("_lat is not null and _lng is not null").withColumn("_cx", cell(F.col("_lng"), size)).withColumn("_cy", cell(F.col("_lat"), size))
     d = segment_m(F.col("_lat"), F.col("_lng"), F.col("lat1"), F.col("lng1"), F.col("lat2"), F.col("lng2"))
     return p.join(s, ["_cx", "_cy"]).withColumn("dist_m", d).where(F.col("dist_m") <= metres).groupBy(id).agg(F.min("dist_m").alias("dist_m"))
@@ -100,7 +104,7 @@ def one_to_one(pairs: DataFrame, left: str, right: str, score: str, mode: str =
             top = cut(left_pairs.withColumn("_a", by(left)).withColumn("_b", by(right)).where("_a = 1 and _b = 1").drop("_a", "_b"))
             if top.isEmpty():
                 return taken if taken is not None else top
-            taken = top if taken is None else taken.unionByName(top)
+            taken = top if taken is None else cut(taken.unionByName(top))
             left_pairs = cut(left_pairs.join(top.select(left), left, "left_anti").join(top.select(right), right, "left_anti"))
     if mode != "in_order":
         raise ValueError(mode)
@@ -137,13 +141,8 @@ def create_unmatched(candidates: DataFrame, existing: DataFrame, metres: float,
         free = cut(open_.join(blocks, "later", "left_anti"))
         if free.isEmpty():
             break
-        made = free if made is None else made.unionByName(free)
+        made = free if made is None else cut(made.unionByName(free))
         dropped = blocks.join(free.withColumnRenamed("later", "earlier"), "earlier", "left_semi").select("later").distinct()
         open_ = cut(open_.join(free, "later", "left_anti").join(dropped, "later", "left_anti"))
         blocks = cut(blocks.join(open_, "later", "left_semi").join(open_.withColumnRenamed("later", "earlier"), "earlier", "left_semi"))
     return fresh.join(made.withColumnRenamed("later", id), id, "left_semi") if made is not None else fresh.limit(0)
-
-
-def in_small(df: DataFrame, other: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """A join that broadcasts ``other`` only after its size was checked."""
-    return df.join(small(other), on, how)

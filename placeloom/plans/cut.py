@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -15,6 +17,13 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 20_000
 
 
+def _temporary() -> str:
+    """A folder of the driver's machine that goes when Python does."""
+    at = tempfile.mkdtemp(prefix="placeloom-")
+    atexit.register(shutil.rmtree, at, True)
+    return at
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder of ``spark.checkpoint.dir``; set only where the session has none."""
     sc = spark.sparkContext
@@ -22,7 +31,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         given = sc.getConf().get("spark.checkpoint.dir", None)
         if given is None and not sc.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        sc.setCheckpointDir(given or tempfile.mkdtemp(prefix="placeloom-"))
+        sc.setCheckpointDir(given or _temporary())
     return sc._jsc.sc().getCheckpointDir().get()
 
 
@@ -56,7 +65,7 @@ def ship(spark: SparkSession) -> None:
     if getattr(sc, "_placeloom", False):
         return
     root = Path(__file__).resolve().parents[1]
-    at = os.path.join(tempfile.mkdtemp(prefix="placeloom-"), "placeloom.zip")
+    at = os.path.join(_temporary(), "placeloom.zip")
     with zipfile.ZipFile(at, "w") as z:
         for p in root.rglob("*.py"):
             z.write(p, p.relative_to(root.parent))

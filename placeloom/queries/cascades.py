@@ -48,7 +48,18 @@ def register_candidates(spark: SparkSession, d: str) -> DataFrame:
     return cascade.graded(within(left, right, 150), steps).select(F.col("l_id").alias("fsa"), F.col("r_id").alias("osm"), "method", F.round("score", 6).alias("score"))
 
 
-@query()
+@query(f"""
+WITH RECURSIVE {_RECORDS},
+near AS (SELECT l.id AS fsa, r.id AS osm, {_D} AS d, {_CODE} AS code, coalesce(l.number = r.number, false) AS linked, coalesce((l.category IN ({Q.quoted(_FOOD)})) <> (r.category IN ({Q.quoted(_FOOD)})), false) AS veto, {_NS} AS ns FROM rec l JOIN rec r ON {_NEAR} WHERE l.source = 'fsa' AND r.source = 'osm' AND {_D} <= 150),
+p AS (SELECT fsa, osm, d, CASE WHEN linked THEN 'number' ELSE 'name' END AS method, CASE WHEN linked THEN 2.0 ELSE ns END + CASE WHEN code THEN 0.3 ELSE 0 END + CASE WHEN d < 50 THEN 0.1 ELSE 0 END AS score FROM near WHERE linked OR (NOT veto AND (ns >= 0.5 OR (ns >= 0.34 AND (d < 60 OR code))))),
+n AS (SELECT *, row_number() OVER (ORDER BY fsa, score DESC, osm) AS n FROM p),
+g AS (SELECT 0::BIGINT AS n, []::VARCHAR[] AS ls, []::VARCHAR[] AS rs, NULL::VARCHAR AS fsa
+  UNION ALL SELECT g.n + 1, CASE WHEN list_contains(ls, n.fsa) OR list_contains(rs, n.osm) THEN ls ELSE list_append(ls, n.fsa) END, CASE WHEN list_contains(ls, n.fsa) OR list_contains(rs, n.osm) THEN rs ELSE list_append(rs, n.osm) END,
+  CASE WHEN list_contains(ls, n.fsa) OR list_contains(rs, n.osm) THEN NULL ELSE n.fsa END FROM g JOIN n ON n.n = g.n + 1),
+t AS (SELECT n.* FROM g JOIN n USING (n) WHERE g.fsa IS NOT NULL),
+c AS (SELECT fsa, count(*) AS candidates FROM near GROUP BY fsa)
+SELECT rec.id AS fsa, t.osm, t.method, round(t.score, 2) AS score, round(t.d) AS dist_m, coalesce(c.candidates, 0) AS candidates FROM rec LEFT JOIN t ON t.fsa = rec.id LEFT JOIN c ON c.fsa = rec.id WHERE rec.source = 'fsa'
+UNION ALL SELECT NULL, id, NULL, NULL, NULL, NULL FROM rec WHERE source = 'osm' AND id NOT IN (SELECT osm FROM t)""")
 def register_merged(spark: SparkSession, d: str) -> DataFrame:
     """The register with the map record each row takes in its order, and the map records left over."""
     left, right, steps = _register_pairs(spark, d)

@@ -154,7 +154,9 @@ def built_places(spark: SparkSession, d: str) -> DataFrame:
     return build_places(table(spark, d, "verify_positions"), table(spark, d, "aliases"), "2031-03-01 00:00:00")
 
 
-@query()
+@query("""
+WITH v AS (SELECT id, max(name) AS name, max(sources[1]) AS source, max(osm_fhrs_id) AS carried FROM verify_positions GROUP BY id)
+SELECT id, name, CASE WHEN source = 'osm' AND carried IS NOT NULL THEN 2 WHEN source = 'fsa' THEN 1 ELSE 0 END AS evidence FROM v""")
 def listed_by_name(spark: SparkSession, d: str) -> DataFrame:
     """Places in the order of a name list: with register and map evidence first, then by name as a reader sorts it."""
     v = table(spark, d, "verify_positions").groupBy("id").agg(F.max("name").alias("name"), F.max(F.get("sources", F.lit(0))).alias("source"), F.max("osm_fhrs_id").alias("carried"))

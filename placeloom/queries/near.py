@@ -87,7 +87,14 @@ def spatial_candidates(spark: SparkSession, d: str) -> DataFrame:
     return within(a, b, 800).groupBy(F.col("l_id").alias("id")).agg(F.count("*").alias("candidates"))
 
 
-@query()
+@query(f"""
+WITH RECURSIVE {_SIDES},
+p AS (SELECT l.id AS a, r.id AS b, {_D} AS d FROM l JOIN r ON abs(l.lat - r.lat) < 0.01 AND abs(l.lng - r.lng) < 0.02 WHERE l.category = r.category AND {_D} <= 800),
+n AS (SELECT *, row_number() OVER (ORDER BY d, a, b) AS n FROM p),
+g AS (SELECT 0::BIGINT AS n, []::VARCHAR[] AS ls, []::VARCHAR[] AS rs, NULL::VARCHAR AS a, NULL::VARCHAR AS b, NULL::DOUBLE AS d
+  UNION ALL SELECT g.n + 1, CASE WHEN list_contains(ls, n.a) OR list_contains(rs, n.b) THEN ls ELSE list_append(ls, n.a) END, CASE WHEN list_contains(ls, n.a) OR list_contains(rs, n.b) THEN rs ELSE list_append(rs, n.b) END,
+  CASE WHEN list_contains(ls, n.a) OR list_contains(rs, n.b) THEN NULL ELSE n.a END, n.b, n.d FROM g JOIN n ON n.n = g.n + 1)
+SELECT a AS fsa, b AS osm, round(d, 3) AS dist_m FROM g WHERE a IS NOT NULL""")
 def greedy_one_to_one(spark: SparkSession, d: str) -> DataFrame:
     """Register and map records of one category paired best first, none twice."""
     a, b = sides(spark, d)
@@ -95,7 +102,14 @@ def greedy_one_to_one(spark: SparkSession, d: str) -> DataFrame:
     return one_to_one(pairs, "l_id", "r_id", "score").select(F.col("l_id").alias("fsa"), F.col("r_id").alias("osm"), F.round(-F.col("score"), 3).alias("dist_m"))
 
 
-@query()
+@query(f"""
+WITH RECURSIVE {_SIDES},
+p AS (SELECT l.id AS a, r.id AS b, {_D} AS d FROM l JOIN r ON abs(l.lat - r.lat) < 0.01 AND abs(l.lng - r.lng) < 0.02 WHERE l.category = r.category AND {_D} <= 800),
+n AS (SELECT *, row_number() OVER (ORDER BY a, d, b) AS n FROM p),
+g AS (SELECT 0::BIGINT AS n, []::VARCHAR[] AS ls, []::VARCHAR[] AS rs, NULL::VARCHAR AS a, NULL::VARCHAR AS b, NULL::DOUBLE AS d
+  UNION ALL SELECT g.n + 1, CASE WHEN list_contains(ls, n.a) OR list_contains(rs, n.b) THEN ls ELSE list_append(ls, n.a) END, CASE WHEN list_contains(ls, n.a) OR list_contains(rs, n.b) THEN rs ELSE list_append(rs, n.b) END,
+  CASE WHEN list_contains(ls, n.a) OR list_contains(rs, n.b) THEN NULL ELSE n.a END, n.b, n.d FROM g JOIN n ON n.n = g.n + 1)
+SELECT a AS fsa, b AS osm FROM g WHERE a IS NOT NULL""")
 def sequential_one_to_one(spark: SparkSession, d: str) -> DataFrame:
     """The same pairs, register records choosing in the order of their ids."""
     a, b = sides(spark, d)
@@ -103,7 +117,14 @@ def sequential_one_to_one(spark: SparkSession, d: str) -> DataFrame:
     return one_to_one(pairs, "l_id", "r_id", "score", mode="in_order").select(F.col("l_id").alias("fsa"), F.col("r_id").alias("osm"))
 
 
-@query()
+@query(f"""
+WITH RECURSIVE c AS (SELECT DISTINCT id, category, lat, lng FROM verify_positions WHERE sources[1] = 'atp' AND lat IS NOT NULL AND lng IS NOT NULL),
+o AS (SELECT DISTINCT id, category, lat, lng FROM verify_positions WHERE sources[1] = 'osm' AND lat IS NOT NULL AND lng IS NOT NULL),
+fresh AS (SELECT * FROM c l WHERE NOT EXISTS (SELECT 1 FROM o r WHERE abs(l.lat - r.lat) < 0.01 AND abs(l.lng - r.lng) < 0.02 AND l.category = r.category AND {_D} <= 250)),
+e AS (SELECT l.id, list(r.id) AS earlier FROM fresh l JOIN fresh r ON r.id < l.id AND abs(l.lat - r.lat) < 0.01 AND abs(l.lng - r.lng) < 0.02 AND l.category = r.category AND {_D} <= 250 GROUP BY l.id),
+n AS (SELECT fresh.id, category, coalesce(earlier, []) AS earlier, row_number() OVER (ORDER BY fresh.id) AS n FROM fresh LEFT JOIN e USING (id)),
+g AS (SELECT 0::BIGINT AS n, []::VARCHAR[] AS made, NULL::VARCHAR AS id UNION ALL SELECT g.n + 1, CASE WHEN len(list_intersect(made, n.earlier)) > 0 THEN made ELSE list_append(made, n.id) END, CASE WHEN len(list_intersect(made, n.earlier)) > 0 THEN NULL ELSE n.id END FROM g JOIN n ON n.n = g.n + 1)
+SELECT id, category FROM g JOIN n USING (id)""")
 def created_places(spark: SparkSession, d: str) -> DataFrame:
     """Chain records that no map record and no earlier created one of their category matches within 250 m."""
     v = table(spark, d, "verify_positions").where("lat is not null and lng is not null")
@@ -172,15 +193,16 @@ def parsed_boxes(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""
 WITH a AS (SELECT id, lat, lon, release FROM overture WHERE lat IS NOT NULL AND lon IS NOT NULL),
-o AS (SELECT id, max(lat) AS lat, max(lon) AS lon FROM a WHERE release = '2031-01-22.0' GROUP BY id),
-n AS (SELECT id, max(lat) + CASE WHEN id < '8' THEN 0.001 ELSE 0 END AS lat, max(lon) AS lon FROM a WHERE release = '2031-02-19.0' GROUP BY id),
+o AS (SELECT id, max(lat) AS lat, max(lon) AS lon FROM a WHERE release = (SELECT min(release) FROM overture) GROUP BY id),
+n AS (SELECT id, max(lat) AS lat, max(lon) AS lon FROM a WHERE release = (SELECT max(release) FROM overture) GROUP BY id),
 j AS (SELECT coalesce(o.id, n.id) AS id, o.id AS oid, n.id AS nid, 2 * 6371000 * asin(least(1, sqrt(pow(sin(radians(n.lat - o.lat) / 2), 2) + cos(radians(o.lat)) * cos(radians(n.lat)) * pow(sin(radians(n.lon - o.lon) / 2), 2)))) AS m FROM o FULL JOIN n ON o.id = n.id)
 SELECT id, CASE WHEN oid IS NULL THEN 'added' WHEN nid IS NULL THEN 'removed' ELSE 'moved' END AS change, CASE WHEN oid IS NOT NULL AND nid IS NOT NULL THEN round(m) END AS metres FROM j WHERE oid IS NULL OR nid IS NULL OR m > 25""")
 def release_difference(spark: SparkSession, d: str) -> DataFrame:
-    """What one release of places added, removed and moved against another (some moved on purpose)."""
+    """What the newest release of places added, removed and moved against the oldest."""
     from placeloom.operators.ranking import difference
 
-    a = table(spark, d, "overture").where("lat is not null and lon is not null")
+    o = table(spark, d, "overture")
+    first, last = o.agg(F.min("release"), F.max("release")).first()
+    a = o.where("lat is not null and lon is not null")
     pick = lambda r: a.where(F.col("release") == r).groupBy("id").agg(F.max("lat").alias("lat"), F.max("lon").alias("lng"))
-    new = pick("2031-02-19.0").withColumn("lat", F.col("lat") + F.when(F.col("id") < "8", 0.001).otherwise(0.0))
-    return difference(pick("2031-01-22.0"), new, "id", haversine_m(F.col("o_lat"), F.col("o_lng"), F.col("n_lat"), F.col("n_lng")), ["lat", "lng"])
+    return difference(pick(first), pick(last), "id", haversine_m(F.col("o_lat"), F.col("o_lng"), F.col("n_lat"), F.col("n_lng")), ["lat", "lng"])

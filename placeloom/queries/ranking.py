@@ -31,12 +31,13 @@ def newest_delivery(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-WITH n AS (SELECT id, min(name) AS name FROM overture WHERE release = '2031-02-19.0' GROUP BY id), o AS (SELECT id, min(name) AS name FROM overture WHERE release <> '2031-02-19.0' GROUP BY id)
+WITH n AS (SELECT id, min(name) AS name FROM overture WHERE release = (SELECT max(release) FROM overture) GROUP BY id), o AS (SELECT id, min(name) AS name FROM overture WHERE release <> (SELECT max(release) FROM overture) GROUP BY id)
 SELECT id, name, 'new' AS layer FROM n UNION ALL SELECT id, name, 'old' FROM o WHERE id NOT IN (SELECT id FROM n)""")
 def union_newest_wins(spark: SparkSession, d: str) -> DataFrame:
     """A release over the one before: its ids hide the older rows."""
     o = table(spark, d, "overture")
-    new, old = (o.where(c).groupBy("id").agg(F.min("name").alias("name")).withColumn("layer", F.lit(n)) for c, n in ((F.col("release") == "2031-02-19.0", "new"), (F.col("release") != "2031-02-19.0", "old")))
+    last = o.agg(F.max("release")).first()[0]
+    new, old = (o.where(c).groupBy("id").agg(F.min("name").alias("name")).withColumn("layer", F.lit(n)) for c, n in ((F.col("release") == last, "new"), (F.col("release") != last, "old")))
     return newest_wins([new, old], "id")
 
 
@@ -156,9 +157,10 @@ def rollup_counts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "lineitem").rollup("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"), F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"))
 
 
-@query("SELECT a.id FROM (SELECT id FROM overture INTERSECT SELECT id FROM overture WHERE release = '2031-02-19.0') a ANTI JOIN (SELECT id FROM overture WHERE release <> '2031-02-19.0') b ON a.id = b.id")
+@query("SELECT a.id FROM (SELECT id FROM overture INTERSECT SELECT id FROM overture WHERE release = (SELECT max(release) FROM overture)) a ANTI JOIN (SELECT id FROM overture WHERE release <> (SELECT max(release) FROM overture)) b ON a.id = b.id")
 def key_sets(spark: SparkSession, d: str) -> DataFrame:
-    """Ids of one release that no other has, by set operations."""
+    """Ids of the newest release that no other has, by set operations."""
     o = table(spark, d, "overture")
-    new = o.where("release = '2031-02-19.0'").select("id")
-    return o.select("id").intersect(new).subtract(o.where("release <> '2031-02-19.0'").select("id"))
+    last = o.agg(F.max("release")).first()[0]
+    new = o.where(F.col("release") == last).select("id")
+    return o.select("id").intersect(new).subtract(o.where(F.col("release") != last).select("id"))

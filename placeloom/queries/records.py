@@ -76,7 +76,7 @@ def pack_manifest(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def content_hash(spark: SparkSession, d: str) -> DataFrame:
     """One hash of a table that doesn't depend on its layout."""
-    return table_hash(table(spark, d, "areas").select("area_id", "name", "fsa"), [])
+    return table_hash(table(spark, d, "overture"), [])
 
 
 @query("""

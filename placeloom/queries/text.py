@@ -103,7 +103,11 @@ def area_words(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "areas").select("area_id", T.locality_words("name").alias("words"), T.slug("area_id").alias("slug")).distinct()
 
 
-@query()
+@query(r"""
+WITH RECURSIVE v AS (SELECT DISTINCT id, concat_ws('|', name, postcode) AS t, lower(trim(name)) || '|' || printf('%.5f', round(lat::DECIMAL(20, 10), 5)) || '|' || printf('%.5f', round(lng::DECIMAL(20, 10), 5)) AS p FROM verify_positions WHERE name IS NOT NULL AND lat IS NOT NULL AND lng IS NOT NULL),
+u AS (SELECT *, list_reduce(list_prepend(5381::BIGINT, list_transform(string_split(t, ''), lambda c: unicode(c)::BIGINT)), lambda h, c: (h * 33 + c) % 4294967296) AS h FROM v),
+b AS (SELECT id, p, h AS x, '' AS s FROM u UNION ALL SELECT id, p, x // 36, substr('0123456789abcdefghijklmnopqrstuvwxyz', (x % 36)::INTEGER + 1, 1) || s FROM b WHERE x > 0)
+SELECT DISTINCT id, s AS text36, substr(sha1(p), 1, 16) AS place16 FROM b WHERE x = 0""")
 def record_hashes(spark: SparkSession, d: str) -> DataFrame:
     """Stable keys of records from their text and place."""
     v = table(spark, d, "verify_positions").where("name is not null and lat is not null and lng is not null")

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from placeloom.operators import decisions, premises, ranking, spatial
+from placeloom.operators import cascade, decisions, premises, ranking, spatial
 from placeloom.operators.components import components
 from placeloom.plans.stages import Build, Step, gate, violations
 
@@ -180,3 +180,45 @@ def test_build_of_places_can_be_run_again(spark):
     assert out["osm-2"].superseded_by == "fsa-1" and out["osm-1"].superseded_by is None and out["osm-2"].tier == 0.3
     named = {r.id: r.name for r in build_places(df, alias, "2031-03-01").collect()}
     assert named["fsa-1"] == "The Harbour"
+
+
+def test_numbering_of_a_key_over_many_partitions(spark):
+    rng = random.Random(5)
+    rows = [("hot" if rng.random() < 0.9 else rng.choice("ab"), rng.randrange(50), i) for i in range(2000)] + [(None, 1, 9999)]
+    df = spark.createDataFrame(rows, "k string, v int, id int").repartition(7)
+    want, seen = {}, {}
+    for k, v, i in sorted(rows, key=lambda r: (r[0] or "", r[1], r[2])):
+        seen[k] = want[i] = seen.get(k, 0) + 1
+        want[i] = (k, seen[k])
+    got = {r.id: (r.k, r.n) for r in ranking.numbered(df, ["k"], [F.asc("v"), F.asc("id")], "n").collect()}
+    assert got == want
+    values = sorted(v for k, v, _ in rows if k == "hot")
+    q = {r.k: (r.p50, r.p99) for r in ranking.exact_quantiles(df, ["k"], "v", {"p50": 0.5, "p99": 0.99}).collect()}
+    assert q["hot"] == tuple(values[min(len(values) - 1, int(len(values) * x))] for x in (0.5, 0.99))
+    assert [r.rank for r in ranking.ranked(df.where("false"), "v", "id").collect()] == []
+
+
+def test_slanting_lines_are_near_along_their_way_only(spark):
+    seg = spark.createDataFrame([(50.0, 0.0, 50.5, 0.5)], "lat1 double, lng1 double, lat2 double, lng2 double")
+    points = spark.createDataFrame([("on", "x", 50.25, 0.25), ("off", "x", 50.45, 0.05), ("end", "x", 50.502, 0.502)], AT)
+    assert {r.id for r in spatial.nearest_segment(points, seg, "id", metres=500).collect()} == {"on", "end"}
+
+
+def test_cascade_takes_the_first_step_that_holds(spark):
+    kind = "id string, name string, brand string, postcode string, website string, number long, lat double, lng double"
+    left = spark.createDataFrame([("a", "Corner Bakery", "", "QN1 1AA", "shop.test/branch/1", 5, 51.0, 0.0), ("b", "Corner Bakery", "", None, None, None, 51.0, 0.0), ("c", "B & M", "", "QN1 1AA", None, None, 51.0, 0.0), ("d", None, "", None, None, None, None, 0.0)], kind)
+    right = spark.createDataFrame(
+        [("n", "Other", "Other", None, None, 5, 51.003, 0.0), ("p", "Other", "Other", None, "http://www.shop.test/branch/1/", None, 51.003, 0.0), ("h", "Other", "Other", None, "shop.test", None, 51.0, 0.0), ("e", "Corner Bakery", "Corner Bakery", "qn11aa", None, None, 51.0, 0.0), ("m", "Mart", "B M", "QN1 1AA", None, None, 51.0, 0.0)], kind
+    )
+    got = {(r.l_id, r.r_id): r.method for r in cascade.graded(spatial.within(left, right, 500), cascade.chain_steps("number")).collect()}
+    assert got == {("a", "n"): "identifier", ("a", "p"): "page", ("a", "e"): "exact", ("b", "e"): "exact", ("c", "m"): "name"} or got == {("a", "n"): "identifier", ("a", "p"): "page", ("a", "e"): "exact", ("b", "e"): "exact", ("c", "m"): "initials"}
+    out = {(r.l_id, r.r_id, r.candidates) for r in cascade.merged_one_to_one(left, right, 150, cascade.chain_steps("number")).collect()}
+    assert {(x, y) for x, y, _ in out if x and y} == {("a", "e"), ("c", "m")} and {y for x, y, _ in out if x is None} == {"n", "p", "h"} and ("d", None, 0) in out
+    strong = spark.range(1).select(cascade.strong_agreement(F.lit("name"), F.lit(0.8), F.lit(59.0), F.lit(0.99)).alias("a"), cascade.strong_agreement(F.lit("name"), F.lit(0.8), F.lit(61.0), F.lit(0.99)).alias("b"), cascade.strong_agreement(F.lit("page"), F.lit(0.1), F.lit(400.0), F.lit(0.98)).alias("c")).first()
+    assert tuple(strong) == (True, False, False)
+
+
+def test_hosts_and_their_guests(spark):
+    df = spark.createDataFrame([("a", "Hall", None), ("b", "Bar", "a"), ("c", "Cafe", "a"), ("d", "Lost", "gone")], "id string, name string, hosted_in string")
+    got = {r.id: (r.host and r.host.name, r.hosted and [h.id for h in r.hosted]) for r in cascade.with_hosts(df).collect()}
+    assert got == {"a": (None, ["b", "c"]), "b": ("Hall", None), "c": ("Hall", None), "d": (None, None)}

@@ -15,7 +15,9 @@ def test_query_equals_its_sql(spark, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_query_without_sql_runs(spark, name):
     df = QUERIES[name](spark, str(DATA))
-    assert len(set(df.columns)) == len(df.columns) and df.count() >= 0
+    rows = df.count()
+    # Only texts that state hours may be wanting in the smallest tables.
+    assert len(set(df.columns)) == len(df.columns) and (rows > 0 or name == "spoken_hours")
 
 
 def test_entry(spark):
