@@ -90,7 +90,8 @@ def repetition(
     With ``cascade`` only documents whose share reaches ``limit`` come out. Cheap rules that bound the share from
     above run first; their cost and rejection are measured on a sample of about ``sample_rows`` texts and the rules
     are ordered by rejection per cost. They never reject a document that reaches the limit, so the sample decides
-    the speed, not the result. ``stage`` tells how many rules were needed. Without ``cascade`` every document comes
+    the speed, not the result. ``stage`` tells how many rules a document that comes
+    out has passed, the exact one among them. Without ``cascade`` every document comes
     out with its exact share.
 
     A word is a run of letters; letter case, digits and punctuation don't count. A null text has a null share

@@ -243,3 +243,27 @@ def test_propagation_on_a_tree_is_exact(spark):
             for e in chosen:
                 sums[e] += weight
     assert got == pytest.approx({e: s / total for e, s in sums.items()}, abs=1e-4)
+
+
+def test_loopy_propagation_agrees_with_enumeration(spark):
+    import math
+
+    rng = random.Random(9)
+    rows, want = [], {}
+    for c in range(40):
+        prior = {(10 * c + a, 10 * c + b): rng.choice([1.5, 2.0, 5.5, 9.5, 10.0]) for a in range(3) for b in range(3) if rng.random() < 0.7}
+        total, sums = 0.0, dict.fromkeys(prior, 0.0)
+        for on in itertools.product((0, 1), repeat=len(prior)):
+            chosen = [e for e, x in zip(prior, on, strict=True) if x]
+            if len({a for a, _ in chosen}) == len(chosen) == len({b for _, b in chosen}):
+                weight = math.exp(sum(prior[e] for e in chosen))
+                total += weight
+                for e in chosen:
+                    sums[e] += weight
+        rows += [(a, b, v) for (a, b), v in prior.items()]
+        want |= {e: s / total for e, s in sums.items()}
+    got = {(r.l, r.r): r.p for r in matching.propagate(spark.createDataFrame(rows, "l long, r long, prior double"), rounds=30).collect()}
+    assert got.keys() == want.keys()
+    sure = {e for e, p in want.items() if abs(p - 0.5) > 0.1}
+    right = sum((got[e] >= 0.5) == (want[e] >= 0.5) for e in sure)
+    assert right >= 0.98 * len(sure) and sum(abs(got[e] - p) for e, p in want.items()) / len(want) < 0.06
