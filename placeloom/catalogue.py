@@ -1,5 +1,5 @@
 """All queries of the core and their SQL."""
 
-from placeloom.queries import ORACLE, QUERIES, browse, cascades, matching, near, ranking, records, text
+from placeloom.queries import ORACLE, QUERIES, browse, cascades, matching, near, ranking, reading, records, text
 
-__all__ = ["ORACLE", "QUERIES", "browse", "cascades", "matching", "near", "ranking", "records", "text"]
+__all__ = ["ORACLE", "QUERIES", "browse", "cascades", "matching", "near", "ranking", "reading", "records", "text"]

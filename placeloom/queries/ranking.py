@@ -157,10 +157,10 @@ def rollup_counts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "lineitem").rollup("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"), F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"))
 
 
-@query("SELECT a.id FROM (SELECT id FROM overture INTERSECT SELECT id FROM overture WHERE release = (SELECT max(release) FROM overture)) a ANTI JOIN (SELECT id FROM overture WHERE release <> (SELECT max(release) FROM overture)) b ON a.id = b.id")
+@query("SELECT a.id FROM (SELECT id FROM overture INTERSECT SELECT id FROM overture WHERE release = (SELECT min(release) FROM overture)) a ANTI JOIN (SELECT id FROM overture WHERE release <> (SELECT min(release) FROM overture)) b ON a.id = b.id")
 def key_sets(spark: SparkSession, d: str) -> DataFrame:
-    """Ids of the newest release that no other has, by set operations."""
+    """Ids of the oldest release that no other has, by set operations."""
     o = table(spark, d, "overture")
-    last = o.agg(F.max("release")).first()[0]
-    new = o.where(F.col("release") == last).select("id")
-    return o.select("id").intersect(new).subtract(o.where(F.col("release") != last).select("id"))
+    first = o.agg(F.min("release")).first()[0]
+    new = o.where(F.col("release") == first).select("id")
+    return o.select("id").intersect(new).subtract(o.where(F.col("release") != first).select("id"))

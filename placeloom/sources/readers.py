@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,7 +47,7 @@ def companies(spark: SparkSession, path: str, codes: list[str], candidates: dict
     ``candidates`` gives the header names each field may have; a missing required one raises. All cells are text;
     rows are kept if active and if one of the code columns begins with one of ``codes``.
     """
-    header = [h.strip() for h in spark.read.text(path).limit(1).first()[0].lstrip("﻿").replace('"', "").split(",")]
+    header = [h.strip() for h in next(csv.reader([spark.read.text(path).limit(1).first()[0].lstrip("﻿")]))]
     found = {f: next((h for h in header if h in names), None) for f, names in candidates.items()}
     if lost := [f for f in ("name", "number", "status") if not found.get(f)]:
         raise ValueError(f"{path}: no column for {', '.join(lost)} in {header}")
@@ -109,18 +110,27 @@ def with_metadata(elements: DataFrame, metadata: DataFrame) -> DataFrame:
     return out
 
 
-FEATURES = "features array<struct<geometry:struct<type:string,coordinates:array<double>>,properties:map<string,string>>>"
+FEATURES = "features array<struct<geometry:struct<type:string,coordinates:string>,properties:map<string,string>>>"
 
 
 def features(spark: SparkSession, path: str, box: Box, properties: list[str], lines: bool = False) -> DataFrame:
-    """Points of GeoJSON collections (or, with ``lines``, of one feature per line) inside ``box`` (w, s, e, n), with the chosen properties."""
+    """Features of GeoJSON collections (or, with ``lines``, one to a line), those that are no points at the centre of their box, inside ``box`` (w, s, e, n), with the chosen properties."""
     if lines:
-        f = spark.read.schema("geometry struct<type:string,coordinates:array<double>>, properties map<string,string>").json(path)
+        f = spark.read.schema("geometry struct<type:string,coordinates:string>, properties map<string,string>").json(path)
     else:
         f = spark.read.schema(FEATURES).json(path, multiLine=True).select(F.explode("features").alias("f")).select("f.*")
-    lng, lat = F.get("geometry.coordinates", F.lit(0)), F.get("geometry.coordinates", F.lit(1))
+    read = lambda kind: F.from_json("geometry.coordinates", kind)
+    line = "array<array<double>>"
+    corners = (
+        F.when(F.col("geometry.type") == "Point", F.array(read("array<double>")))
+        .when(F.col("geometry.type").isin("LineString", "MultiPoint"), read(line))
+        .when(F.col("geometry.type").isin("Polygon", "MultiLineString"), F.flatten(read(f"array<{line}>")))
+        .when(F.col("geometry.type") == "MultiPolygon", F.flatten(F.flatten(read(f"array<array<{line}>>"))))
+    )
+    middle = lambda i: (F.array_min(F.transform("_corners", lambda p: F.get(p, F.lit(i)))) + F.array_max(F.transform("_corners", lambda p: F.get(p, F.lit(i))))) / 2  # noqa: B023, E731
     w, s, e, n = box
-    return f.where((F.col("geometry.type") == "Point") & lng.between(w, e) & lat.between(s, n)).select(lat.alias("lat"), lng.alias("lng"), *(F.nullif(F.try_element_at("properties", F.lit(p)), F.lit("")).alias(p) for p in properties))
+    placed = f.withColumn("_corners", corners).withColumn("lng", middle(0)).withColumn("lat", middle(1)).where(F.col("lng").between(w, e) & F.col("lat").between(s, n))
+    return placed.select("lat", "lng", *(F.nullif(F.try_element_at("properties", F.lit(p)), F.lit("")).alias(p) for p in properties))
 
 
 PHARMACIES = "ods string, name string, org string, address string, postcode string, contract string, mo string, tu string, we string, th string, fr string, sa string, su string"

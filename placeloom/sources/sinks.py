@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placeloom.functions.geo import tile
-from placeloom.functions.text import folded_name, slug
+from placeloom.functions.text import folded_name
 
 
 def write_packs(df: DataFrame, path: str, columns: tuple[str, ...] = ("country", "area")) -> None:
@@ -58,6 +58,20 @@ def file_stats(df: DataFrame, name: str, lat: str | None = None, lng: str | None
     return table_hash(df, []).crossJoin(F.broadcast(bounds)).select(F.lit(name).alias("name"), "rows", "sha256", F.array("w", "s", "e", "n").alias("bounds"))
 
 
+def raw_copies(spark: SparkSession, path: str, tables: dict[str, DataFrame], missing: dict[str, str]) -> DataFrame:
+    """Every table written as it came, one folder each, and a manifest: (name, rows, sha256, bounds, reason); what is ``missing`` stands there with its reason."""
+    none = lambda t: F.lit(None).cast(t)
+    out = None
+    for name, df in tables.items():
+        df.write.mode("overwrite").parquet(f"{path}/{name}")
+        told = file_stats(spark.read.schema(df.schema).parquet(f"{path}/{name}"), name).withColumn("reason", none("string"))
+        out = told if out is None else out.unionByName(told)
+    for name, reason in missing.items():
+        told = spark.range(1).select(F.lit(name).alias("name"), none("long").alias("rows"), none("string").alias("sha256"), none("array<double>").alias("bounds"), F.lit(reason).alias("reason"))
+        out = told if out is None else out.unionByName(told)
+    return out
+
+
 def clean_review(df: DataFrame) -> DataFrame:
     """Reviews fit to be appended: 1 to 5 stars and a text; author of 60 and text of 2000 signs at most."""
     cut_ = lambda c, n: F.substring(F.trim(F.col(c)), 1, n)
@@ -67,7 +81,3 @@ def clean_review(df: DataFrame) -> DataFrame:
 
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
-
-
-def pack_slug(c: Column) -> Column:
-    return slug(c)

@@ -105,3 +105,22 @@ def test_notes_stream(spark, tmp_path):
     assert sorted((r.author[:3], r.rating, r.text) for r in got.collect()) == [("AAA", 5, "fine"), ("Ano", 5, "fine"), ("Ano", 5, "fine")]
     daily = notes.daily(spark.read.schema(notes.NOTES).json(str(src)))
     assert daily.agg(F.sum("n")).first()[0] == 7
+
+
+def test_features_that_are_no_points_stand_at_the_centre_of_their_box(spark, tmp_path):
+    shapes = [("Polygon", "[[[0,0],[4,0],[4,2],[0,2],[0,0]]]"), ("LineString", "[[0,0],[2,6]]"), ("MultiPolygon", "[[[[0,0],[1,0],[1,1],[0,0]]],[[[5,5],[7,5],[7,9],[5,5]]]]"), ("Point", "[3.5,4.5]"), ("Circle", "[1,1]")]
+    path = put(tmp_path, "f.jsonl", "\n".join(f'{{"geometry": {{"type": "{t}", "coordinates": {c}}}, "properties": {{"id": "{t}"}}}}' for t, c in shapes))
+    got = {r.id: (r.lng, r.lat) for r in readers.features(spark, path, (-10.0, -10.0, 10.0, 10.0), ["id"], lines=True).collect()}
+    assert got == {"Polygon": (2, 1), "LineString": (1, 3), "MultiPolygon": (3.5, 4.5), "Point": (3.5, 4.5)}
+
+
+def test_a_header_may_hold_a_comma(spark, tmp_path):
+    path = put(tmp_path, "c.csv", '"Name, full",Number,State,Code\n"A, B Ltd",7,Active,56101\n')
+    got = readers.companies(spark, path, ["56"], {"name": ["Name, full"], "number": ["Number"], "status": ["State"], "codes": ["Code"]}).first()
+    assert (got.name, got.number) == ("A, B Ltd", "7")
+
+
+def test_raw_copies_name_what_is_missing(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, t string")
+    one, two = (sinks.raw_copies(spark, str(tmp_path / n), {"t": x}, {"u": "not delivered"}).orderBy("name").collect() for n, x in (("a", df), ("b", df.repartition(3))))
+    assert [(r.name, r.rows, r.reason) for r in one] == [("t", 2, None), ("u", None, "not delivered")] and one[0].sha256 == two[0].sha256
