@@ -130,7 +130,9 @@ def first_contact(spark: SparkSession, d: str) -> DataFrame:
 def hours_parsed(spark: SparkSession, d: str) -> DataFrame:
     """Opening hours as ranges of minutes, one row a day and range."""
     v = table(spark, d, "verify_positions").where("opening_hours_osm is not null").select("id", "opening_hours_osm").distinct().select("id", hours.week(F.col("opening_hours_osm")).alias("week"))
-    return v.select("id", F.explode("week").alias("day", "ranges")).select("id", "day", F.explode("ranges").alias("r")).select("id", "day", "r.o", "r.c")
+    # Outer, as a plain explode would first ask for the size of the week and read the text once more for it.
+    days = v.select("id", F.explode_outer("week").alias("day", "ranges")).where("day is not null")
+    return days.select("id", "day", F.explode("ranges").alias("r")).select("id", "day", "r.o", "r.c")
 
 
 @query(_WEEKS + """SELECT id, CASE WHEN id IN (SELECT id FROM wk WHERE n = 4 AND o <= 750 AND (750 < c OR c < o) UNION ALL SELECT id FROM wk WHERE n = 3 AND c < o AND 750 < c) THEN 'open' WHEN id IN (SELECT id FROM told) THEN 'closed' ELSE 'unknown' END AS state FROM v""")
