@@ -1,9 +1,12 @@
 import itertools
 import random
+import time
+from pathlib import Path
 
 import pytest
 
 from placeloom.llm import addresses, matching, names
+from placeloom.plans import cut
 
 ADDRESS = "id string, address string, postcode string, area_id string, number int, town string"
 TOWN = "eu/gb/shire/bemnysley"
@@ -121,6 +124,31 @@ def test_alike_pairs_equal_brute_force(spark, sizes):
     assert got == pytest.approx({p: v for p, v in want.items() if v >= 0.25}, abs=1e-5)
 
 
+def _held(spark):
+    """Shuffle files on the disks, and tables in the checkpoint folder."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+    at = Path(cut.checkpoint_dir(spark).removeprefix("file:"))
+    return {f for f in files if "shuffle_" in f} | {str(p) for p in at.glob("table-*")}
+
+
+def _more(spark, before):
+    for _ in range(50):  # files are removed behind the driver's back
+        if not (more := _held(spark) - before):
+            break
+        time.sleep(0.1)
+    return more
+
+
+def test_names_meet_in_rounds_whose_files_go(spark):
+    mine, other = _spellings()
+    forms = spark.createDataFrame(mine[::3] + other[:40] + [(5000 + k, f.replace("a", "e", 1)) for k, f in other[:40]], "form_id long, form string")
+    whole = {(r.a, r.b): r.sim for r in names.alike(forms).collect()}
+    before = _held(spark)
+    pairs = names.alike(forms, list_=7, held=40, at_once=200)
+    assert {p.rsplit("/", 1)[1] for p in _more(spark, before)} == {pairs._table.rsplit("/", 1)[1]}
+    assert {(r.a, r.b): r.sim for r in pairs.collect()} == pytest.approx(whole, abs=1e-5)
+
+
 def test_weights_go_by_shares_not_by_numbers():
     df = {g: 1 + k % 3 for k, g in enumerate(g for grams in names.grams_of("kasnomulbe bakery", 4) for g in grams)}
     one = names.weighed("kasnomulbe bakery", df, 500, 4)
