@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placeloom.llm.names import near, same_name, words_of
-from placeloom.plans.cut import cut, cut_table, small
+from placeloom.plans.cut import cut_table, passing, release, small
 
 #: Log-odds of a candidate pair: BASE, and SUPPORT for each attribute that speaks for it; OWN for a page of its own; AGAINST for each that contradicts.
 BASE, SUPPORT, OWN, AGAINST = -6.0, 4.0, 9.0, -0.5
@@ -101,7 +101,8 @@ def candidates(left: DataFrame, right: DataFrame, towns: list[str]) -> DataFrame
     """(l, r, prior): log-odds of every pair of classes (see :func:`classes`) that more speaks for than against: two attributes or an own page."""
     # Hashed keys are shorter to shuffle; two keys with one hash only add candidates.
     keyed = lambda df, n: df.select(F.col("class").alias(n), F.explode(_keys()).alias("key")).select(n, F.xxhash64("key").alias("key"))
-    met = keyed(left, "l").join(keyed(right, "r"), "key").select("l", "r").distinct()
+    # Cut, so that the keys and the attributes are not on the disks together.
+    met = cut_table(keyed(left, "l").join(keyed(right, "r"), "key").select("l", "r").distinct())
     spelt: dict[str, set[str]] = {}
     for t in towns:
         for v in shortened(t):
@@ -139,10 +140,10 @@ def propagate(pairs: DataFrame, left_once: bool = True, right_once: bool = True,
     A factor for each left record lets at most one of its pairs be true, and one for each right record likewise;
     either can be left out. Factors and pairs exchange messages, as odds, through grouped sums joined back to the
     pairs; ``l_n`` and ``r_n`` tell how many equal records a left or a right one stands for. Rounds are damped and end when no message moves by more than ``tolerance``;
-    with one kind of factor the graph has no loops and the first round is exact. Each round is cut by a checkpoint.
+    with one kind of factor the graph has no loops and the first round is exact. Each round is cut by a table, and the table before goes.
     """
     many = [(F.col(n) if n in pairs.columns else F.lit(1)).cast("double").alias(n) for n in ("l_n", "r_n")]
-    now = cut(pairs.select("l", "r", F.exp(F.least(F.col("prior"), F.lit(50.0))).alias("odds"), *many, F.lit(1.0).alias("from_l"), F.lit(1.0).alias("from_r")))
+    now = cut_table(pairs.select("l", "r", F.exp(F.least(F.col("prior"), F.lit(50.0))).alias("odds"), *many, F.lit(1.0).alias("from_l"), F.lit(1.0).alias("from_r")))
     for _ in range(rounds):
         step = now
         if left_once:
@@ -159,7 +160,8 @@ def propagate(pairs: DataFrame, left_once: bool = True, right_once: bool = True,
         keep = damping if loopy else 0.0
         mix = lambda old, new: keep * F.col(old) + (1 - keep) * F.col(new)  # noqa: B023, E731
         step = step.select("l", "r", "odds", "l_n", "r_n", mix("from_l", "new_l").alias("from_l"), mix("from_r", "new_r").alias("from_r"), F.greatest(F.abs(F.col("from_l") - F.col("new_l")), F.abs(F.col("from_r") - F.col("new_r"))).alias("moved"))
-        now = cut(step)
+        last, now = now, cut_table(step)
+        release(last)
         if not loopy or (now.agg(F.max("moved")).first()[0] or 0.0) <= tolerance:
             break
     belief = F.col("odds") * F.col("from_l") * F.col("from_r")
@@ -203,15 +205,17 @@ def match(left: DataFrame, right: DataFrame, id: str = "id", name: str = "name",
     if len(told) > 5000:
         raise ValueError("too many towns")
     said = sorted({"".join(words_of(r[0])) for r in told if r[0]})
-    a, b = (cut_table(plain(df, id, name, postcode, website)) for df in (left, right))
-    often = a.where("host <> ''").groupBy("host").agg(F.count("*").alias("n")).where(F.col("n") > SHARED_POSTCODES).select("host")
-    # Counted exactly, over distinct values first, so that a hot host is folded; repeated records count once.
-    hosts = a.join(often, "host", "left_semi").groupBy("host").agg(F.count_distinct(F.when(F.col("code") != "", F.col("code"))).alias("codes"), F.count_distinct("words").alias("names"), F.count_distinct("id").alias("n")).where(F.col("codes") > SHARED_POSTCODES)
-    hosts = cut(hosts.select("host", F.lit(True).alias("shared"), (F.col("names") > PLATFORM_NAMES * F.col("n")).alias("platform")))
-    crowd = a.select("code").unionByName(b.select("code")).where("code <> ''").groupBy("code").agg(F.count("*").alias("n")).where(F.col("n") > BUSY_CODE)
-    codes = cut(crowd.select("code", F.lit(True).alias("busy")))
-    (lc, lm), (rc, rm) = classes(a, hosts, codes), classes(b, hosts, codes)
-    pairs = cut(candidates(lc, rc, said))
-    weighed = pairs.join(class_sizes(lm, pairs, "l"), "l").join(class_sizes(rm, pairs, "r"), "r")
-    found = propagate(weighed, left_once, right_once).where(F.col("p") >= least)
-    return found.join(lm.toDF("l", "left_id"), "l").join(rm.toDF("r", "right_id"), "r").groupBy("left_id", "right_id").agg(F.max("p").alias("p"))
+    with passing(left.sparkSession) as keep:
+        a, b = (cut_table(plain(df, id, name, postcode, website)) for df in (left, right))
+        often = a.where("host <> ''").groupBy("host").agg(F.count("*").alias("n")).where(F.col("n") > SHARED_POSTCODES).select("host")
+        # Counted exactly, over distinct values first, so that a hot host is folded; repeated records count once.
+        hosts = a.join(often, "host", "left_semi").groupBy("host").agg(F.count_distinct(F.when(F.col("code") != "", F.col("code"))).alias("codes"), F.count_distinct("words").alias("names"), F.count_distinct("id").alias("n")).where(F.col("codes") > SHARED_POSTCODES)
+        hosts = cut_table(hosts.select("host", F.lit(True).alias("shared"), (F.col("names") > PLATFORM_NAMES * F.col("n")).alias("platform")))
+        crowd = a.select("code").unionByName(b.select("code")).where("code <> ''").groupBy("code").agg(F.count("*").alias("n")).where(F.col("n") > BUSY_CODE)
+        codes = cut_table(crowd.select("code", F.lit(True).alias("busy")))
+        (lc, lm), (rc, rm) = classes(a, hosts, codes), classes(b, hosts, codes)
+        lc, rc = cut_table(lc), cut_table(rc)
+        pairs = cut_table(candidates(lc, rc, said))
+        weighed = pairs.join(class_sizes(lm, pairs, "l"), "l").join(class_sizes(rm, pairs, "r"), "r")
+        found = propagate(weighed, left_once, right_once).where(F.col("p") >= least)
+        return keep(cut_table(found.join(lm.toDF("l", "left_id"), "l").join(rm.toDF("r", "right_id"), "r").groupBy("left_id", "right_id").agg(F.max("p").alias("p"))))

@@ -295,3 +295,12 @@ def test_loopy_propagation_agrees_with_enumeration(spark):
     sure = {e for e, p in want.items() if abs(p - 0.5) > 0.1}
     right = sum((got[e] >= 0.5) == (want[e] >= 0.5) for e in sure)
     assert right >= 0.98 * len(sure) and sum(abs(got[e] - p) for e, p in want.items()) / len(want) < 0.06
+
+
+def test_a_match_leaves_its_result_only(spark):
+    left = [(f"l{k}", f"Kasnomulbe{k} Bakery", f"QN{k % 9} 4WE", f"https://kasno{k}.example.com/") for k in range(40)]
+    before = _held(spark)
+    a, b = (spark.createDataFrame([(i.replace("l", side), *rest, 0.0) for i, *rest in left], PLACE) for side in "lr")
+    found = matching.match(a, b)
+    assert {p.rsplit("/", 1)[1] for p in _more(spark, before)} == {found._table.rsplit("/", 1)[1]}
+    assert {(r.left_id, r.right_id) for r in found.collect()} == {(f"l{k}", f"r{k}") for k in range(40)}
