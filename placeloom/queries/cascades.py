@@ -34,7 +34,8 @@ def _records(spark: SparkSession, d: str) -> DataFrame:
 def _register_pairs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, list[cascade.Step]]:
     r = _records(spark, d)
     veto = F.col("l_category").isin(*_FOOD) != F.col("r_category").isin(*_FOOD)
-    return r.where("source = 'fsa'"), r.where("source = 'osm'"), cascade.register_steps(veto)
+    left, right = (cascade.read(r.where(f"source = '{s}'").drop("website"), "category", "number") for s in ("fsa", "osm"))
+    return left, right, cascade.register_steps(veto)
 
 
 @query(f"""
