@@ -11,6 +11,7 @@ from placeloom.operators.premises import at_premises
 from placeloom.operators.ranking import difference, keep_first, ranked
 from placeloom.operators.spatial import attach_host, best_each, within
 from placeloom.functions.geo import planar_m
+from placeloom.plans.cut import cut_table
 from placeloom.queries import query, table
 from placeloom.queries import sqltext as Q
 
@@ -93,7 +94,8 @@ SELECT place, overture_id, method, round(score, 6) AS score, coalesce((method =
 def release_backfill(spark: SparkSession, d: str) -> DataFrame:
     """For each record the release row that may fill its gaps, and whether that row confirms the place."""
     o = keep_first(table(spark, d, "overture"), "id", F.desc("loaded_at"), F.desc("release")).select("id", "name", "lat", F.col("lon").alias("lng"), "postcode", "website", "confidence", "datasets")
-    pairs = cascade.graded(within(_records(spark, d), o, 500), cascade.release_steps(F.array_contains("r_datasets", "meta")))
+    left, right = cut_table(cascade.read(_records(spark, d))), cut_table(cascade.read(o.withColumn("meta", F.array_contains("datasets", "meta")), "confidence", "meta"))
+    pairs = cascade.graded(cascade.release_pairs(left, right), cascade.release_steps(F.col("r_meta")))
     best = best_each(pairs, "l_id", F.desc("score"), F.asc("r_id"))
     strong = cascade.strong_agreement(F.col("method"), F.col("score"), F.col("dist_m"), F.col("r_confidence"))
     return best.select(F.col("l_id").alias("place"), F.col("r_id").alias("overture_id"), "method", F.round("score", 6).alias("score"), strong.alias("strong"))

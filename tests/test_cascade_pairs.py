@@ -44,3 +44,18 @@ def test_names_that_are_read_score_as_names(spark):
     pairs = p.select(*(F.col(c).alias(f"l_{c}") for c in p.columns)).crossJoin(q.select(*(F.col(c).alias(f"r_{c}") for c in q.columns)))
     for x in pairs.select(cascade.read_score().alias("got"), name_score("l_id", "r_id").alias("want"), F.arrays_overlap("l_brand", "r_brand").alias("brand"), brand_gate("l_id", "r_id").alias("gate")).collect():
         assert x.got == x.want and x.brand == (x.gate == "yes")
+
+
+def test_release_pairs_are_all_that_the_steps_take(spark):
+    a, b = _sides(spark)
+    code, ns = cascade.same_code(), name_score("l_name", "r_name")
+    reach = F.col("dist_m") <= F.when(code, 250).otherwise(120)
+    page = F.coalesce(url_key("l_website")["deep"] & (url_key("l_website")["key"] == url_key("r_website")["key"]), F.lit(False))
+    steps = [cascade.Step("page", page, F.lit(1.8)), cascade.Step("name", reach & accept("l_name", "r_name", ns, F.col("dist_m"), code), ns + F.when(code, 0.3).otherwise(0.0))]
+    want = _told(cascade.graded(spatial.within(a, b, 500), steps))
+    assert len({x[2] for x in want}) == 2 and _told(cascade.graded(cascade.release_pairs(cascade.read(a), cascade.read(b)), cascade.release_steps(F.lit(False)))) == want
+
+
+@pytest.mark.skipif(not DATA.exists(), reason="no test tables")
+def test_release_names_are_read_before_they_meet(spark):
+    assert _no_regex_in_joins("release_backfill", spark)
