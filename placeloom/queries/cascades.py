@@ -110,8 +110,9 @@ def rows_with_own_rules(spark: SparkSession, d: str) -> DataFrame:
     """For each map record the best row of a list whose rows say what they may join: categories, reach, postcode or not."""
     r = _records(spark, d)
     food = F.coalesce(F.col("category").isin(*_FOOD), F.lit(False))
-    rows = r.where("source = 'fsa'").withColumn("kinds", F.array_compact(F.array(F.col("category"), *map(F.lit, _FOOD)))).withColumn("reach", F.when(food, 500).otherwise(120)).withColumn("strict", ~food).withColumn("brand", F.col("name"))
-    pairs = cascade.graded(within(r.where("source = 'osm'"), rows, 500), cascade.row_steps())
+    rows = r.where("source = 'fsa'").withColumn("kinds", F.array_compact(F.array(F.col("category"), *map(F.lit, _FOOD)))).withColumn("reach", F.when(food, 500).otherwise(120)).withColumn("strict", ~food)
+    left, right = cascade.read(r.where("source = 'osm'"), "category"), cascade.read(rows, "kinds", "reach", "strict")
+    pairs = cascade.graded(cascade.row_pairs(left, right, 500), cascade.row_steps())
     return best_each(pairs, "l_id", F.desc("score"), F.asc("r_id")).select(F.col("l_id").alias("place"), F.col("r_id").alias("feature"), F.round("score", 6).alias("score"))
 
 

@@ -59,3 +59,18 @@ def test_release_pairs_are_all_that_the_steps_take(spark):
 @pytest.mark.skipif(not DATA.exists(), reason="no test tables")
 def test_release_names_are_read_before_they_meet(spark):
     assert _no_regex_in_joins("release_backfill", spark)
+
+
+def test_row_pairs_are_all_that_the_steps_take(spark):
+    a, b = _sides(spark)
+    b = b.withColumn("kinds", F.array(F.lit("pub"), F.lit("cafe"))).withColumn("strict", F.coalesce(F.col("category") == "shop", F.lit(False))).withColumn("reach", F.when(F.col("strict"), 120).otherwise(500))
+    code, ns = cascade.same_code(), name_score("l_name", "r_name")
+    there = F.array_contains("r_kinds", F.col("l_category")) & (F.col("dist_m") <= F.col("r_reach")) & (~F.col("r_strict") | code)
+    want = _told(cascade.graded(spatial.within(a, b, 500), [cascade.Step("name", there & (brand_gate("l_name", "r_name") == "yes") & cascade.enough(ns, code), ns + F.when(code, 0.3).otherwise(0.0))]))
+    got = cascade.row_pairs(cascade.read(a, "category"), cascade.read(b, "kinds", "reach", "strict"), 500)
+    assert len(want) > 20 and _told(cascade.graded(got, cascade.row_steps())) == want
+
+
+@pytest.mark.skipif(not DATA.exists(), reason="no test tables")
+def test_names_of_rows_are_read_before_they_meet(spark):
+    assert _no_regex_in_joins("rows_with_own_rules", spark)
