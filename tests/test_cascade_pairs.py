@@ -74,3 +74,8 @@ def test_row_pairs_are_all_that_the_steps_take(spark):
 @pytest.mark.skipif(not DATA.exists(), reason="no test tables")
 def test_names_of_rows_are_read_before_they_meet(spark):
     assert _no_regex_in_joins("rows_with_own_rules", spark)
+
+
+@pytest.mark.skipif(not DATA.exists(), reason="no test tables")
+def test_enriching_names_are_read_before_they_meet(spark):
+    assert _no_regex_in_joins("scored_enrichment", spark)
